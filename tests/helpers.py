@@ -1,0 +1,60 @@
+"""Shared fixtures in code: cases around one fixed day, and plan text."""
+
+import contextlib
+import datetime as dt
+
+from pyspark.sql import types as T
+
+AS_OF = dt.date(2026, 6, 15)
+
+ID_DOB = T.StructType(
+    [T.StructField("id", T.IntegerType()), T.StructField("dob", T.DateType())]
+)
+
+# (case, birth date, age, drives at 16, votes at 18, drinks at 21)
+CASES = [
+    ("adult", dt.date(2001, 6, 15), 25, True, True, True),
+    ("half year over", dt.date(2000, 12, 15), 25, True, True, True),
+    ("month short of 16", dt.date(2010, 7, 15), 15, False, False, False),
+    ("16 today", dt.date(2010, 6, 15), 16, True, False, False),
+    ("16 tomorrow", dt.date(2010, 6, 16), 15, False, False, False),
+    ("16 yesterday", dt.date(2010, 6, 14), 16, True, False, False),
+    ("17", dt.date(2009, 6, 15), 17, True, False, False),
+    ("18 today", dt.date(2008, 6, 15), 18, True, True, False),
+    ("18 tomorrow", dt.date(2008, 6, 16), 17, True, False, False),
+    ("20", dt.date(2006, 6, 15), 20, True, True, False),
+    ("21 today", dt.date(2005, 6, 15), 21, True, True, True),
+    ("21 tomorrow", dt.date(2005, 6, 16), 20, True, True, False),
+    ("newborn", dt.date(2026, 3, 15), 0, False, False, False),
+    ("born today", dt.date(2026, 6, 15), 0, False, False, False),
+    ("born tomorrow", dt.date(2026, 6, 16), -1, False, False, False),
+    ("born in a year", dt.date(2027, 6, 15), -1, False, False, False),
+    ("unknown", None, None, False, False, False),
+]
+
+
+def plan_of(df):
+    """The physical plan, final if the frame has been run."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    """Session settings for a while; underscores in names stand for dots."""
+    before = {}
+    for key, value in values.items():
+        name = key.replace("_", ".")
+        before[name] = spark.conf.get(name, None)
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def partition_sizes(df):
+    from pyspark.sql import functions as F
+
+    rows = df.groupBy(F.spark_partition_id()).count().collect()
+    return [row["count"] for row in rows]

@@ -1,0 +1,172 @@
+import os
+from urllib.parse import urlparse
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+import clientele as cl
+from clientele.sinks import tables as sink
+from tests.helpers import settings
+
+
+def files_of(spark, table):
+    rows = spark.table(table).select(F.input_file_name().alias("f")).distinct().collect()
+    return [os.path.getsize(urlparse(r.f).path) for r in rows]
+
+
+@pytest.fixture
+def frame(spark):
+    return spark.range(0, 1000, 1, 6).withColumn("text", F.concat(F.lit("row "), F.col("id")))
+
+
+def tables_in(spark, database):
+    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+
+
+def test_read_by_name_and_by_schema(spark, database, frame):
+    frame.write.saveAsTable(f"{database}.t")
+    assert cl.frames_equal(cl.read_table(spark, f"{database}.t"), frame)
+    assert cl.frames_equal(cl.read_table(spark, "t", schema=database), frame)
+
+
+def test_scan_partitions_only_shrink(spark, database, frame):
+    frame.repartition(6).write.saveAsTable(f"{database}.t")
+    with settings(spark, spark_sql_files_maxPartitionBytes="1000"):
+        spread = cl.read_table(spark, f"{database}.t").rdd.getNumPartitions()
+        assert spread > 4
+        few = cl.read_table(spark, f"{database}.t", max_partitions=4)
+        assert few.rdd.getNumPartitions() == 4
+        assert cl.frames_equal(few, frame)
+        many = cl.read_table(spark, f"{database}.t", max_partitions=spread + 50)
+        assert many.rdd.getNumPartitions() == spread
+
+
+def test_missing_table(spark, database):
+    with pytest.raises(AnalysisException):
+        cl.read_table(spark, f"{database}.nothing")
+
+
+@pytest.mark.parametrize("layout, files", [(None, 6), (4, 4), (8, 8), (2, 2), ("compact", 1)])
+def test_file_counts(spark, database, frame, layout, files):
+    cl.overwrite_table(frame, f"{database}.t", layout=layout)
+    assert len(files_of(spark, f"{database}.t")) == files
+    assert cl.frames_equal(spark.table(f"{database}.t"), frame)
+
+
+def test_two_hundred_files(spark, database, frame):
+    cl.overwrite_table(frame, "t", schema=database, layout=200)
+    assert len(files_of(spark, f"{database}.t")) == 200
+
+
+def test_compact_splits_what_is_too_large_for_one_task(spark, database):
+    big = spark.range(0, 400_000, 1, 32).withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+    with settings(spark, spark_sql_adaptive_advisoryPartitionSizeInBytes="4m"):
+        cl.overwrite_table(big, f"{database}.t", layout="compact")
+    sizes = files_of(spark, f"{database}.t")
+    assert 3 <= len(sizes) < 32
+    assert max(sizes) < sum(sizes) / 2
+    assert cl.frames_equal(spark.table(f"{database}.t"), big)
+
+
+def test_overwrite_replaces_rows_and_schema(spark, database, frame):
+    cl.overwrite_table(frame, f"{database}.t")
+    changed = frame.limit(3).withColumn("extra", F.lit(1.5)).drop("text")
+    cl.overwrite_table(changed, f"{database}.t")
+    assert spark.table(f"{database}.t").columns == ["id", "extra"]
+    assert spark.table(f"{database}.t").count() == 3
+
+
+def test_other_format(spark, database, frame):
+    cl.overwrite_table(frame, f"{database}.t", fmt="orc")
+    assert spark.catalog.getTable(f"{database}.t").tableType == "MANAGED"
+    details = dict(spark.sql(f"DESCRIBE EXTENDED {database}.t").select("col_name", "data_type").collect())
+    assert details["Provider"] == "orc"
+
+
+@pytest.mark.parametrize("layout", [None, 4, "compact"])
+def test_in_place(spark, database, frame, layout):
+    table = f"{database}.t"
+    cl.overwrite_table(frame, table)
+    for _ in range(2):  # a second run starts from the first one's result
+        more = cl.read_table(spark, table).withColumn("twice", F.col("id") * 2)
+        cl.overwrite_table(more, table, layout=layout)
+    assert cl.frames_equal(spark.table(table), frame.withColumn("twice", F.col("id") * 2))
+    assert tables_in(spark, database) == ["t"]
+
+
+def test_in_place_under_other_spellings_of_the_name(spark, database, frame):
+    cl.overwrite_table(frame, f"{database}.t")
+    spark.catalog.setCurrentDatabase(database)
+    try:
+        for read, write in (("t", f"{database}.t"), (f"{database}.t", "t"),
+                            (f"spark_catalog.{database}.t", "T"),
+                            ("t", f"spark_catalog.{database}.t")):
+            cl.overwrite_table(cl.read_table(spark, read).where("id > 5"), write)
+    finally:
+        spark.catalog.setCurrentDatabase("default")
+    assert spark.table(f"{database}.t").count() == 994
+    assert tables_in(spark, database) == ["t"]
+
+
+def test_in_place_through_a_view(spark, database, frame):
+    cl.overwrite_table(frame, f"{database}.t")
+    spark.sql(f"CREATE VIEW {database}.v AS SELECT id FROM {database}.t")
+    cl.overwrite_table(spark.table(f"{database}.v").where("id < 10"), f"{database}.t")
+    assert spark.table(f"{database}.t").count() == 10
+
+
+def test_staged_overwrite_keeps_the_old_table_if_the_job_fails(spark, database, frame):
+    table = f"{database}.t"
+    cl.overwrite_table(frame, table, staged=True)  # nothing to protect yet
+    failing = frame.select(F.raise_error(F.lit("broken")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        cl.overwrite_table(failing, table, staged=True)
+    assert cl.frames_equal(spark.table(table), frame)
+    cl.overwrite_table(frame.limit(7), table, staged=True)
+    assert spark.table(table).count() == 7
+    assert tables_in(spark, database) == ["t"]
+
+
+def test_in_place_keeps_the_old_table_if_the_job_fails(spark, database, frame):
+    table = f"{database}.t"
+    cl.overwrite_table(frame, table)
+    failing = cl.read_table(spark, table).withColumn(
+        "bad", F.when(F.col("id") == 999, F.raise_error(F.lit("broken")))
+    )
+    with pytest.raises(Exception, match="broken"):
+        cl.overwrite_table(failing, table)
+    assert cl.frames_equal(spark.table(table), frame)
+
+
+def test_a_failed_swap_puts_the_old_table_back(spark, database, frame, monkeypatch):
+    table = f"{database}.t"
+    cl.overwrite_table(frame, table)
+    rename = sink._rename
+
+    def break_second(spark, old, new):
+        if old.endswith("__new"):
+            raise RuntimeError("catalog lost")
+        rename(spark, old, new)
+
+    monkeypatch.setattr(sink, "_rename", break_second)
+    with pytest.raises(RuntimeError, match="catalog lost"):
+        cl.overwrite_table(cl.read_table(spark, table).limit(1), table)
+    assert cl.frames_equal(spark.table(table), frame)
+
+
+def test_restore_after_a_crash_between_the_renames(spark, database, frame):
+    table = f"{database}.t"
+    cl.overwrite_table(frame, table)
+    assert not cl.restore_table(spark, table)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    assert cl.restore_table(spark, table)
+    assert cl.frames_equal(spark.table(table), frame)
+    assert not cl.restore_table(spark, f"{database}.never_there")
+
+
+def test_other_errors_are_not_mistaken_for_in_place(spark, database, frame):
+    duplicated = frame.select("id", F.col("id").alias("ID"))
+    with pytest.raises(AnalysisException) as error:
+        cl.overwrite_table(duplicated, f"{database}.t")
+    assert error.value.getCondition() == "COLUMN_ALREADY_EXISTS"

@@ -21,6 +21,8 @@ def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     names = sorted(left.columns)
     if names != sorted(right.columns):
         raise ValueError(f"Column names differ: {names} and {sorted(right.columns)}.")
+    if {"side", "copies"} & {name.lower() for name in names}:
+        raise ValueError("The names 'side' and 'copies' are taken by the result.")
     weighed = (
         left.select(*names, F.lit(1).cast("bigint").alias(_WEIGHT))
         .unionByName(right.select(*names, F.lit(-1).cast("bigint").alias(_WEIGHT)))

@@ -48,6 +48,10 @@ def add_eligibility(
     With ``check`` off a missing ``dob`` column is left to Spark's analyser,
     which raises ``AnalysisException``.
     """
+    rules = tuple(rules)
+    names = [rule.name.lower() for rule in rules]
+    if "age" in names or len(set(names)) < len(names):
+        raise ValueError(f"Rules need distinct names other than 'age', not {names}.")
     if check:
         require_columns(df, dob)
     columns = {"age": age_years(dob, as_of)}

@@ -174,6 +174,13 @@ def test_wrong_birth_column_types_fail(spark):
         broken.collect()
 
 
+@pytest.mark.parametrize("names", [("age",), ("AGE",), ("a", "A"), ("a", "b", "a")])
+def test_rules_need_distinct_names(spark, names):
+    rules = [cl.EligibilityRule(name, 16) for name in names]
+    with pytest.raises(ValueError, match="distinct names"):
+        cl.add_eligibility(spark.createDataFrame([], ID_DOB), rules)
+
+
 def test_works_on_a_stream(spark, database):
     table = f"{database}.births"
     spark.createDataFrame([(c[0], c[1]) for c in CASES], "case string, dob date").write.saveAsTable(

@@ -113,6 +113,8 @@ def test_frames_equal_ignores_row_and_column_order(spark):
     assert not cl.frames_equal(left, left.withColumnRenamed("v", "w"))
     with pytest.raises(ValueError, match="Column names differ"):
         cl.frame_diff(left, left.drop("v"))
+    with pytest.raises(ValueError, match="taken"):
+        cl.frame_diff(*[left.withColumnRenamed("v", "Side")] * 2)
 
 
 # --- join --------------------------------------------------------------------

@@ -126,6 +126,15 @@ def test_join_is_not_forced_to_broadcast(spark, skewed):
         assert "Broadcast" not in plan_of(cl.join_on(*skewed))
 
 
+def test_join_of_bucketed_tables_needs_no_shuffle(spark, skewed, database):
+    for frame, name, key in zip(skewed, ("customers", "orders"), ("id", "customer_id")):
+        frame.write.bucketBy(4, key).sortBy(key).saveAsTable(f"{database}.{name}")
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="-1"):
+        joined = cl.join_on(spark.table(f"{database}.customers"), spark.table(f"{database}.orders"))
+        assert "SortMergeJoin" in plan_of(joined) and "Exchange" not in plan_of(joined)
+        assert joined.count() == 60_000
+
+
 def test_compact_layout_moves_one_block_per_map_task(births):
     plan = plan_of(cl.arrange(births, "compact"))
     assert plan.count("Exchange") == 1 and "REBALANCE_PARTITIONS_BY_NONE" in plan

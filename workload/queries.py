@@ -23,9 +23,12 @@ AS_OF = dt.date(2026, 2, 28)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def add_flags(df: DataFrame, *rules: cl.EligibilityRule) -> DataFrame:
+    return cl.add_eligibility(df, rules, as_of=AS_OF)
+
+
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = (DRIVE_16, VOTE_18, DRINK_21)
-    return cl.add_eligibility(customers(spark, sf_dir), rules, as_of=AS_OF)
+    return add_flags(customers(spark, sf_dir), DRIVE_16, VOTE_18, DRINK_21)
 
 
 def _cores(spark: SparkSession) -> int:
@@ -36,16 +39,17 @@ def _cores(spark: SparkSession) -> int:
 
 
 def scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.read_table(spark, f"{catalog_views(spark, sf_dir)}.customers")
+    database = catalog_views(spark, sf_dir, "customers")
+    return cl.read_table(spark, f"{database}.customers")
 
 
 def scan_schema_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.read_table(spark, "orders", schema=catalog_views(spark, sf_dir))
+    return cl.read_table(spark, "orders", schema=catalog_views(spark, sf_dir, "orders"))
 
 
 def scan_coalesced(spark: SparkSession, sf_dir: str) -> DataFrame:
     # As many scan partitions as there are cores, whatever the cluster.
-    database = catalog_views(spark, sf_dir)
+    database = catalog_views(spark, sf_dir, "customers")
     return cl.read_table(spark, f"{database}.customers", max_partitions=_cores(spark))
 
 
@@ -68,8 +72,7 @@ def overwrite_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overwrite_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{catalog_tables(spark, sf_dir)}.customers"
-    voters = cl.add_eligibility(cl.read_table(spark, table), (VOTE_18,), as_of=AS_OF)
-    cl.overwrite_table(voters, table)
+    cl.overwrite_table(add_flags(cl.read_table(spark, table), VOTE_18), table)
     return cl.read_table(spark, table)
 
 
@@ -96,20 +99,20 @@ def age_years_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def can_drive_16(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.add_eligibility(customers(spark, sf_dir), (DRIVE_16,), as_of=AS_OF)
+    return add_flags(customers(spark, sf_dir), DRIVE_16)
 
 
 def can_vote_18(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.add_eligibility(customers(spark, sf_dir), (VOTE_18,), as_of=AS_OF)
+    return add_flags(customers(spark, sf_dir), VOTE_18)
 
 
 def drive18_drink21(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.add_eligibility(customers(spark, sf_dir), (DRIVE_18, DRINK_21), as_of=AS_OF)
+    return add_flags(customers(spark, sf_dir), DRIVE_18, DRINK_21)
 
 
 def drive_vote_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = [cl.EligibilityRule("canDrive", 17), cl.EligibilityRule("canVote", 20)]
-    return cl.add_eligibility(customers(spark, sf_dir), rules, as_of=AS_OF)
+    rules = cl.EligibilityRule("canDrive", 17), cl.EligibilityRule("canVote", 20)
+    return add_flags(customers(spark, sf_dir), *rules)
 
 
 def drive_status_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +201,7 @@ def sorted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     def flags(rule: cl.EligibilityRule) -> DataFrame:
-        flagged = cl.add_eligibility(customers(spark, sf_dir), (rule,), as_of=AS_OF)
+        flagged = add_flags(customers(spark, sf_dir), rule)
         return flagged.select("segment", "canDrive", "first_name")
 
     return cl.frame_diff(flags(DRIVE_16), flags(DRIVE_18))
@@ -207,9 +210,12 @@ def frame_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- standard jobs, read back ------------------------------------------------
 
 
-def _job(name: str, in_place: bool = False) -> Query:
+def _job(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        database = (catalog_tables if in_place else catalog_views)(spark, sf_dir)
+        if name.endswith("in_place"):
+            database = catalog_tables(spark, sf_dir)
+        else:
+            database = catalog_views(spark, sf_dir, *cl.PRESETS[name].sources)
         job = cl.preset(name, database, as_of=AS_OF)
         job.run(spark)
         return cl.read_table(spark, job.destination)
@@ -218,17 +224,17 @@ def _job(name: str, in_place: bool = False) -> Query:
     return run
 
 
-_JOBS = {
-    "job_drive18_drink21": _job("drive18_drink21"),
-    "job_drive16": _job("drive16"),
-    "job_vote18_in_place": _job("vote18_in_place", in_place=True),
-    "job_drive16_vote18": _job("drive16_vote18"),
-    "job_drive16_in_place": _job("drive16_in_place", in_place=True),
-    "job_drive_status": _job("drive_status"),
-    "job_full_name": _job("full_name"),
-    "job_full_name_null_safe_in_place": _job("full_name_null_safe_in_place", in_place=True),
-    "job_gold_orders": _job("gold_orders"),
-}
+_JOBS = (
+    "drive18_drink21",
+    "drive16",
+    "vote18_in_place",
+    "drive16_vote18",
+    "drive16_in_place",
+    "drive_status",
+    "full_name",
+    "full_name_null_safe_in_place",
+    "gold_orders",
+)
 
 QUERIES: dict[str, Query] = {
     "scan_table": scan_table,
@@ -260,5 +266,5 @@ QUERIES: dict[str, Query] = {
     "first_row": first_row,
     "sorted_rows": sorted_rows,
     "frame_diff": frame_diff,
-    **_JOBS,
+    **{f"job_{name}": _job(name) for name in _JOBS},
 }

@@ -30,6 +30,8 @@ ORDER_COLUMNS = """
     o_orderdate AS ordered_at
 """
 
+VIEWS = {"customers": (CUSTOMER_COLUMNS, "customer"), "orders": (ORDER_COLUMNS, "orders")}
+
 
 def parquet_sql(columns: str, sf_dir: str, table: str) -> str:
     return f"SELECT {columns} FROM parquet.`{sf_dir}/{table}.parquet`"
@@ -56,13 +58,11 @@ def scratch_database(spark: SparkSession) -> str:
     return name
 
 
-def catalog_views(spark: SparkSession, sf_dir: str) -> str:
-    """A database with customers and orders as views: nothing is copied."""
+def catalog_views(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    """A database with the named tables as views: nothing is copied."""
     database = scratch_database(spark)
-    for name, columns, table in (
-        ("customers", CUSTOMER_COLUMNS, "customer"),
-        ("orders", ORDER_COLUMNS, "orders"),
-    ):
+    for name in names:
+        columns, table = VIEWS[name]
         spark.sql(f"CREATE VIEW {database}.{name} AS {parquet_sql(columns, sf_dir, table)}")
     return database
 

@@ -23,13 +23,12 @@ def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
         raise ValueError(f"Column names differ: {names} and {sorted(right.columns)}.")
     if {"side", "copies"} & {name.lower() for name in names}:
         raise ValueError("The names 'side' and 'copies' are taken by the result.")
-    weighed = (
-        left.select(*names, F.lit(1).cast("bigint").alias(_WEIGHT))
-        .unionByName(right.select(*names, F.lit(-1).cast("bigint").alias(_WEIGHT)))
-    )
-    surplus = weighed.groupBy(*names).agg(F.sum(_WEIGHT).alias(_WEIGHT)).where(F.col(_WEIGHT) != 0)
-    return surplus.select(
-        *names,
+    columns = [F.col(f"`{name}`") for name in names]  # names may hold dots
+    plus, minus = (F.lit(n).cast("bigint").alias(_WEIGHT) for n in (1, -1))
+    weighed = left.select(*columns, plus).unionByName(right.select(*columns, minus))
+    surplus = weighed.groupBy(*columns).agg(F.sum(_WEIGHT).alias(_WEIGHT))
+    return surplus.where(F.col(_WEIGHT) != 0).select(
+        *columns,
         F.when(F.col(_WEIGHT) > 0, "left").otherwise("right").alias("side"),
         F.abs(_WEIGHT).alias("copies"),
     )

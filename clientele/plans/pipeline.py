@@ -20,7 +20,9 @@ class Pipeline:
     """Reads ``sources``, applies ``transform`` to them, overwrites ``destination``.
 
     The destination may be one of the sources. ``tolerates`` lists the error
-    classes that ``run(on_error="log")`` logs instead of raising.
+    classes that ``run(on_error="log")`` logs instead of raising. With
+    ``staged`` an existing destination keeps its rows until the new ones are
+    complete, as it always does when the job reads it.
     """
 
     name: str
@@ -30,6 +32,7 @@ class Pipeline:
     layout: Layout = None
     max_scan_partitions: int | None = None
     tolerates: tuple[type[Exception], ...] = ()
+    staged: bool = False
 
     def result(self, spark: SparkSession) -> DataFrame:
         """The transformed frame, not yet run."""
@@ -46,7 +49,9 @@ class Pipeline:
         try:
             if self.destination in self.sources:
                 restore_table(spark, self.destination)
-            overwrite_table(self.result(spark), self.destination, layout=self.layout)
+            overwrite_table(
+                self.result(spark), self.destination, layout=self.layout, staged=self.staged
+            )
         except self.tolerates as error:
             if on_error == "raise":
                 raise

@@ -85,6 +85,7 @@ def preset(
     as_of: AsOf = None,
     rules: tuple[EligibilityRule, ...] | None = None,
     fixed_layout: bool = False,
+    staged: bool = False,
 ) -> Pipeline:
     """A standard job on the tables of ``database``. ``rules`` replaces the
     flag columns of an age job, for instance to set other ages."""
@@ -104,4 +105,5 @@ def preset(
         layout=job.layout if fixed_layout else None,
         max_scan_partitions=job.max_scan_partitions if fixed_layout else None,
         tolerates=job.tolerates,
+        staged=staged,
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,10 @@ def overwrite_table(
 def restore_table(spark: SparkSession, name: str) -> bool:
     """Put the old table back if a swap was cut off between its two renames.
     Returns whether there was anything to restore."""
-    if spark.catalog.tableExists(name) or not spark.catalog.tableExists(name + _OLD):
+    old = _beside(name, _OLD)
+    if spark.catalog.tableExists(name) or not spark.catalog.tableExists(old):
         return False
-    _rename(spark, name + _OLD, name)
+    _rename(spark, old, name)
     return True
 
 
@@ -64,18 +67,24 @@ def _save(df: DataFrame, table: str, fmt: str | None) -> None:
 
 
 def _write_and_swap(df: DataFrame, table: str, fmt: str | None) -> None:
-    spark = df.sparkSession
-    _save(df, table + _NEW, fmt)
-    spark.sql(f"DROP TABLE IF EXISTS {table + _OLD}")
-    _rename(spark, table, table + _OLD)
+    spark, new, old = df.sparkSession, _beside(table, _NEW), _beside(table, _OLD)
+    _save(df, new, fmt)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    _rename(spark, table, old)
     try:
-        _rename(spark, table + _NEW, table)
+        _rename(spark, new, table)
     except Exception:
         restore_table(spark, table)
         raise
-    spark.sql(f"DROP TABLE {table + _OLD}")
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _beside(table: str, suffix: str) -> str:
+    """A table name in the same database; either may be in backquotes."""
+    return f"{table[:-1]}{suffix}`" if table.endswith("`") else table + suffix
 
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:
     # The new name is read relative to the old one's catalog.
-    spark.sql(f"ALTER TABLE {old} RENAME TO {'.'.join(new.split('.')[-2:])}")
+    parts = re.findall(r"`[^`]+`|[^.`]+", new)
+    spark.sql(f"ALTER TABLE {old} RENAME TO {'.'.join(parts[-2:])}")

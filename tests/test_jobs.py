@@ -131,6 +131,18 @@ def test_other_ages(spark, retail):
         cl.preset("full_name", retail, rules=rules)
 
 
+def test_staged_job_keeps_the_old_result_if_it_fails(spark, retail):
+    job = cl.preset("drive16", retail, as_of=AS_OF, staged=True)
+    job.run(spark)
+    spark.table(f"{retail}.customers").drop("dob").selectExpr(
+        "*", "if(id = 3, cast('no date' AS date), NULL) AS dob"
+    ).createOrReplaceTempView("broken")
+    failing = cl.Pipeline("failing", ("broken",), job.destination, job.transform, staged=True)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        failing.run(spark)
+    assert spark.table(job.destination).where("canDrive").count() > 0
+
+
 def test_ages_count_to_today_by_default(spark, retail):
     job = cl.preset("drive16", retail)
     today = cl.add_eligibility(

@@ -106,6 +106,12 @@ def test_frame_diff_agrees_with_except_all(spark):
         assert sorted(actual.collect()) == sorted(expected.collect())
 
 
+def test_frame_diff_of_odd_column_names(spark):
+    left = spark.createDataFrame([(1, 2)], ["a.b", "c d"])
+    assert cl.frame_diff(left, left.limit(0)).collect() == [(1, 2, "left", 1)]
+    assert cl.frame_diff(left, left.limit(0)).columns == ["a.b", "c d", "side", "copies"]
+
+
 def test_frames_equal_ignores_row_and_column_order(spark):
     left = spark.createDataFrame([(1, None), (2, "b"), (2, "b")], "k int, v string")
     assert cl.frames_equal(left, left.orderBy(F.col("k").desc()).select("v", "k"))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 from collections import Counter
 
 import duckdb
@@ -9,7 +10,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ("customer", "orders", "lineitem")
 
 

@@ -109,6 +109,14 @@ def test_in_place_under_other_spellings_of_the_name(spark, database, frame):
     assert tables_in(spark, database) == ["t"]
 
 
+def test_in_place_with_quoted_names(spark, database, frame):
+    for table in (f"`{database}`.`7_days`", f"spark_catalog.{database}.`7_days`"):
+        cl.overwrite_table(frame, table)
+        cl.overwrite_table(cl.read_table(spark, table).where("id > 5"), table)
+        assert spark.table(table).count() == 994
+    assert tables_in(spark, database) == ["7_days"]
+
+
 def test_in_place_through_a_view(spark, database, frame):
     cl.overwrite_table(frame, f"{database}.t")
     spark.sql(f"CREATE VIEW {database}.v AS SELECT id FROM {database}.t")

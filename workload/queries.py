@@ -31,8 +31,9 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_flags(customers(spark, sf_dir), DRIVE_16, VOTE_18, DRINK_21)
 
 
-def _cores(spark: SparkSession) -> int:
-    return max(2, spark.sparkContext.defaultParallelism)
+def _width(spark: SparkSession) -> int:
+    """The partition count the session is tuned for, not a fixed one."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 # --- sources -----------------------------------------------------------------
@@ -48,9 +49,8 @@ def scan_schema_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_coalesced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # As many scan partitions as there are cores, whatever the cluster.
     database = catalog_views(spark, sf_dir, "customers")
-    return cl.read_table(spark, f"{database}.customers", max_partitions=_cores(spark))
+    return cl.read_table(spark, f"{database}.customers", max_partitions=_width(spark))
 
 
 # --- sinks -------------------------------------------------------------------
@@ -58,7 +58,7 @@ def scan_coalesced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.customers_out"
-    cl.overwrite_table(_flagged(spark, sf_dir), table, layout=_cores(spark))
+    cl.overwrite_table(_flagged(spark, sf_dir), table, layout=_width(spark))
     return cl.read_table(spark, table)
 
 
@@ -129,7 +129,7 @@ def full_name_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_name_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.arrange(cl.add_full_name(customers(spark, sf_dir)), _cores(spark))
+    return cl.arrange(cl.add_full_name(customers(spark, sf_dir)), _width(spark))
 
 
 def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     exactly, even where Spark itself would ignore case."""
     for name in names:
         if name not in df.columns:
+            # Fixed value: the wording of the message.
             raise ValueError(f"Input DataFrame must contain a '{name}' column.")
     return df
 

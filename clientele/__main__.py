@@ -15,13 +15,20 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--database", required=True)
     parser.add_argument("--as-of", help="ISO date to count ages at; today by default")
     parser.add_argument("--fixed-layout", action="store_true", help="apply the job's file count")
+    parser.add_argument("--staged", action="store_true", help="keep the old result until done")
     parser.add_argument("--on-error", choices=("raise", "log"), default="raise")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
 
     spark = get_session(args.job)
     try:
-        job = preset(args.job, args.database, args.as_of, fixed_layout=args.fixed_layout)
+        job = preset(
+            args.job,
+            args.database,
+            args.as_of,
+            fixed_layout=args.fixed_layout,
+            staged=args.staged,
+        )
         return 0 if job.run(spark, on_error=args.on_error) else 1
     finally:
         spark.stop()

@@ -32,24 +32,27 @@ def join_on(
     ``hot_keys`` (``heavy_keys`` finds them): their right rows are dealt over
     ``slices`` partitions and only their left rows are repeated to match.
     """
+    if slices < 1:
+        raise ValueError("slices must be 1 or more.")
     right, right_key = _rename_collisions(left, right, right_key, prefix)
     if not hot_keys:
-        return left.join(right, F.col(left_key) == F.col(right_key), "inner")
+        return left.join(right, left[left_key] == right[right_key], "inner")
 
-    def is_hot(key: str) -> Column:
-        return F.col(key).isin(list(hot_keys))
+    def is_hot(key: Column) -> Column:
+        return key.isin(list(hot_keys))
 
     # The partition id spreads equal rows too, and unlike a random number it
     # comes out the same when a lost task is run again.
     dealt = F.pmod(F.spark_partition_id(), F.lit(slices))
     every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
-    left = left.where(F.col(left_key).isNotNull()).withColumn(
-        _LEFT_SLICE, F.explode(F.when(is_hot(left_key), every_slice).otherwise(F.array(F.lit(0))))
+    only_one = F.array(F.lit(0))
+    left = left.where(left[left_key].isNotNull()).withColumn(
+        _LEFT_SLICE, F.explode(F.when(is_hot(left[left_key]), every_slice).otherwise(only_one))
     )
-    right = right.where(F.col(right_key).isNotNull()).withColumn(
-        _RIGHT_SLICE, F.when(is_hot(right_key), dealt).otherwise(F.lit(0))
+    right = right.where(right[right_key].isNotNull()).withColumn(
+        _RIGHT_SLICE, F.when(is_hot(right[right_key]), dealt).otherwise(0)
     )
-    matched = (F.col(left_key) == F.col(right_key)) & (F.col(_LEFT_SLICE) == F.col(_RIGHT_SLICE))
+    matched = (left[left_key] == right[right_key]) & (left[_LEFT_SLICE] == right[_RIGHT_SLICE])
     return left.join(right, matched, "inner").drop(_LEFT_SLICE, _RIGHT_SLICE)
 
 
@@ -77,4 +80,5 @@ def _rename_collisions(
     clash = sorted(new for new in renames.values() if new.lower() in taken)
     if clash:
         raise ValueError(f"Prefix {prefix!r} gives column names already in use: {clash}.")
-    return right.withColumnsRenamed(renames), renames.get(right_key, right_key)
+    renamed_keys = {c.lower(): new for c, new in renames.items()}
+    return right.withColumnsRenamed(renames), renamed_keys.get(right_key.lower(), right_key)

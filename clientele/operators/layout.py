@@ -17,9 +17,10 @@ def arrange(df: DataFrame, layout: Layout = None) -> DataFrame:
         tasks, with no shuffle; the best choice for large tables.
     ``"compact"``
         As few partitions as the session's advisory partition size allows:
-        one for a small table, many for a large one, none of them unbounded.
-        Map outputs are packed together whole, so the shuffle has one block
-        per map task and no sort. Left as is where adaptive execution is off.
+        one for a small table, many for a large one. Map outputs are packed
+        together whole, so the shuffle has one block per map task and no sort,
+        and a partition exceeds that size by one map task's output at most.
+        Left as is where adaptive execution is off.
     ``n`` (2 or more)
         Exactly ``n`` partitions of equal row count, by a full shuffle.
     """

@@ -30,7 +30,9 @@ def overwrite_table(
     any data is touched, and the rows are written to a second table which then
     takes the first one's place by renaming. The rows are written once, not
     copied back, and the old table stays until the new one is complete.
-    ``staged`` asks for the same care for an existing table that is not read.
+    ``staged`` asks for the same care for an existing table in other cases,
+    above all for a frame that reads the table's files by path, which Spark
+    does not recognise, or to keep the old rows should the job fail.
     """
     spark = df.sparkSession
     table = f"{schema}.{name}" if schema else name

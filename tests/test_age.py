@@ -138,7 +138,8 @@ def test_dict_rows_with_schema(spark):
 
 
 def test_existing_columns_are_replaced(spark):
-    df = spark.createDataFrame([(99, "?", dt.date(2010, 6, 15))], "AGE int, canVote string, dob date")
+    schema = "AGE int, canVote string, dob date"
+    df = spark.createDataFrame([(99, "?", dt.date(2010, 6, 15))], schema)
     once = cl.add_eligibility(df, (DRIVE,), as_of=AS_OF)
     twice = cl.add_eligibility(once, (DRIVE,), as_of=AS_OF)
     assert [c.lower() for c in once.columns] == ["age", "canvote", "dob", "candrive"]
@@ -151,7 +152,9 @@ def test_timestamps_count_from_their_day(spark):
     assert (row.age, row.canDrive) == (16, True)
 
 
-@pytest.mark.parametrize("schema", ["id int, birth_date date", "name string", "id bigint, DOB date"])
+@pytest.mark.parametrize(
+    "schema", ["id int, birth_date date", "name string", "id bigint, DOB date"]
+)
 def test_missing_birth_column(spark, schema):
     df = spark.createDataFrame([], schema)
     with pytest.raises(ValueError, match="Input DataFrame must contain a 'dob' column."):

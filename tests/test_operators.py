@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import clientele as cl
@@ -87,7 +88,8 @@ def test_sort_spreads_copies_of_one_row(spark):
 
 
 def test_frame_diff_counts_surplus_copies_on_each_side(spark):
-    left = spark.createDataFrame([(1, "a"), (1, "a"), (1, "a"), (2, None), (3, "c")], "k int, v string")
+    rows = [(1, "a"), (1, "a"), (1, "a"), (2, None), (3, "c")]
+    left = spark.createDataFrame(rows, "k int, v string")
     right = spark.createDataFrame([("a", 1), (None, 2), ("d", 4), ("d", 4)], "v string, k int")
     result = cl.frame_diff(left, right)
     assert result.columns == ["k", "v", "side", "copies"]
@@ -157,23 +159,36 @@ def test_join_keeps_all_columns_and_can_be_saved(spark, sides, database, hot_key
     assert sorted(spark.table(f"{database}.gold").collect()) == JOINED
 
 
-def test_join_on_equally_named_keys(spark, sides):
+@pytest.mark.parametrize("hot_keys", [(), (1,)])
+@pytest.mark.parametrize("key", ["id", "ID"])
+def test_join_on_equally_named_keys(sides, key, hot_keys):
     customers, _ = sides
-    joined = cl.join_on(customers, customers, "id", "id", prefix="other_")
+    joined = cl.join_on(customers, customers, "id", key, prefix="other_", hot_keys=hot_keys)
     assert joined.columns == ["id", "name", "note", "other_id", "other_name", "other_note"]
     assert joined.count() == 6
 
 
+def test_join_keys_belong_to_their_own_side(sides):
+    customers, orders = sides
+    for keys in (("customer_id", "customer_id"), ("id", "name"), ("id", "nothing")):
+        with pytest.raises(AnalysisException):
+            cl.join_on(customers, orders, *keys, prefix="order_")
+
+
 def test_join_refuses_a_prefix_that_collides(spark, sides):
     customers, orders = sides
     with pytest.raises(ValueError, match="order_note"):
         cl.join_on(customers.withColumn("order_note", F.lit(1)), orders, prefix="order_")
+    with pytest.raises(ValueError, match="already in use"):
+        cl.join_on(customers, orders, prefix="")
+    with pytest.raises(ValueError, match="slices"):
+        cl.join_on(customers, orders, prefix="order_", hot_keys=[1], slices=0)
 
 
 def test_heavy_keys(spark):
-    rows = spark.range(0, 900).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("k")
-    )
+    third = F.col("id") % 3
+    key = F.when(third == 0, 7).when(third == 1, None).otherwise(F.col("id"))
+    rows = spark.range(0, 900).select(key.alias("k"))
     assert cl.heavy_keys(rows, "k", share=0.1) == [7]
     assert cl.heavy_keys(rows, "k", share=0.5) == []
     with pytest.raises(ValueError):

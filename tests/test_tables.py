@@ -80,8 +80,8 @@ def test_overwrite_replaces_rows_and_schema(spark, database, frame):
 def test_other_format(spark, database, frame):
     cl.overwrite_table(frame, f"{database}.t", fmt="orc")
     assert spark.catalog.getTable(f"{database}.t").tableType == "MANAGED"
-    details = dict(spark.sql(f"DESCRIBE EXTENDED {database}.t").select("col_name", "data_type").collect())
-    assert details["Provider"] == "orc"
+    details = spark.sql(f"DESCRIBE EXTENDED {database}.t").collect()
+    assert {row.col_name: row.data_type for row in details}["Provider"] == "orc"
 
 
 @pytest.mark.parametrize("layout", [None, 4, "compact"])
@@ -136,6 +136,15 @@ def test_staged_overwrite_keeps_the_old_table_if_the_job_fails(spark, database,
     assert tables_in(spark, database) == ["t"]
 
 
+def test_staged_overwrite_of_a_table_read_by_path(spark, database, frame):
+    cl.overwrite_table(frame, f"{database}.t")
+    details = spark.sql(f"DESCRIBE EXTENDED {database}.t").collect()
+    path = {row.col_name: row.data_type for row in details}["Location"]
+    by_path = spark.read.parquet(path).where("id < 10")
+    cl.overwrite_table(by_path, f"{database}.t", staged=True)
+    assert spark.table(f"{database}.t").count() == 10
+
+
 def test_in_place_keeps_the_old_table_if_the_job_fails(spark, database, frame):
     table = f"{database}.t"
     cl.overwrite_table(frame, table)

@@ -43,6 +43,8 @@ STRICT = f"SELECT *, first_name || last_name AS full_name FROM {CUSTOMERS}"
 NULL_SAFE = f"""SELECT *, coalesce(first_name, '') || ' ' || coalesce(last_name, '') AS full_name
     FROM {CUSTOMERS}"""
 
+OLD_LINES = f"SELECT * EXCLUDE (age) FROM {_flagged(LINES, LEAP_DAY)} WHERE age >= 18"
+
 STATUS_TEXT = "CASE WHEN age >= 18 THEN 'Yes' ELSE 'No' END AS \"canDrive\""
 
 JOINED = f"""SELECT c.*, o.id AS order_id, o.customer_id, o.status, o.total, o.ordered_at
@@ -88,7 +90,7 @@ ORACLES: dict[str, str] = {
     "filter_sql_text": _all(ALL_FLAGS, "age = 30"),
     "filter_string_eq": _all(ALL_FLAGS, "segment = 'BUILDING'"),
     "filter_column_eq": _all(ALL_FLAGS, "nation = 7"),
-    "filter_reached_age": f"SELECT * EXCLUDE (age) FROM {_flagged(LINES, LEAP_DAY)} WHERE age >= 18",
+    "filter_reached_age": OLD_LINES,
     "customer_orders_inner": JOINED,
     "customer_orders_hot_keys": JOINED,
     "count_rows": f"SELECT count(*) AS n_rows FROM {CUSTOMERS}",
@@ -97,12 +99,17 @@ ORACLES: dict[str, str] = {
     "sorted_rows": f"SELECT * FROM {ALL_FLAGS} ORDER BY age NULLS FIRST, id",
     "frame_diff": DIFF,
     "job_drive18_drink21": _all(DRIVE_18_DRINK_21),
-    "job_drive16": _all(DRIVE_16),
+    "job_drive16_tr": _all(DRIVE_16),
     "job_vote18_in_place": _all(VOTE_18),
+    "job_drive16": _all(DRIVE_16),
     "job_drive16_vote18": _all(DRIVE_16_VOTE_18),
+    "job_drive16_with_age": _all(DRIVE_16),
     "job_drive16_in_place": _all(DRIVE_16),
     "job_drive_status": f"SELECT *, {STATUS_TEXT} FROM {AGED}",
+    "job_drive_status_again": f"SELECT *, {STATUS_TEXT} FROM {AGED}",
+    "job_full_name_two_files": STRICT,
     "job_full_name": STRICT,
     "job_full_name_null_safe_in_place": NULL_SAFE,
     "job_gold_orders": JOINED,
+    "job_full_name_again": STRICT,
 }

@@ -224,18 +224,6 @@ def _job(name: str) -> Query:
     return run
 
 
-_JOBS = (
-    "drive18_drink21",
-    "drive16",
-    "vote18_in_place",
-    "drive16_vote18",
-    "drive16_in_place",
-    "drive_status",
-    "full_name",
-    "full_name_null_safe_in_place",
-    "gold_orders",
-)
-
 QUERIES: dict[str, Query] = {
     "scan_table": scan_table,
     "scan_schema_table": scan_schema_table,
@@ -266,5 +254,5 @@ QUERIES: dict[str, Query] = {
     "first_row": first_row,
     "sorted_rows": sorted_rows,
     "frame_diff": frame_diff,
-    **{f"job_{name}": _job(name) for name in _JOBS},
+    **{f"job_{name}": _job(name) for name in cl.PRESETS},
 }

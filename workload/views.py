@@ -53,7 +53,7 @@ def scratch_database(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
         root = tempfile.mkdtemp(prefix="run-")
-    name = f"w_{uuid.uuid4().hex}"
+    name, root = f"w_{uuid.uuid4().hex}", root.rstrip("/")
     spark.sql(f"CREATE DATABASE {name} LOCATION '{root}/{name}'")
     return name
 

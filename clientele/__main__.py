@@ -18,7 +18,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--staged", action="store_true", help="keep the old result until done")
     parser.add_argument("--on-error", choices=("raise", "log"), default="raise")
     args = parser.parse_args(argv)
-    logging.basicConfig(level=logging.INFO)
+    logging.basicConfig()
+    logging.getLogger("clientele").setLevel(logging.INFO)
 
     spark = get_session(args.job)
     try:

@@ -48,6 +48,16 @@ def test_age_is_whole_years_of_months_between(spark, grid, zone):
         assert wrong.isEmpty()
 
 
+def test_age_of_timestamps_is_whole_years_of_months_between(spark, grid):
+    with settings(spark, spark_sql_session_timeZone="UTC"):
+        late = grid.withColumn("dob", F.expr("cast(dob AS timestamp) + interval 1439 minutes"))
+        assert dict(late.dtypes)["dob"] == "timestamp"
+        wrong = late.where(
+            ~cl.age_years("dob", F.col("day")).eqNullSafe(_months_age(F.col("day"), F.col("dob")))
+        )
+        assert wrong.isEmpty()
+
+
 def test_reached_age_agrees_with_age(grid):
     aged = grid.withColumn("age", cl.age_years("dob", F.col("day")))
     for years in (0, 1, 16, 18, 21, 100):
@@ -87,6 +97,14 @@ def test_today_is_the_default_day(spark):
     assert cl.frames_equal(default, today)
 
 
+def test_birthdays_around_today(spark):
+    born = "add_months(current_date(), -192)"
+    days = spark.sql(f"SELECT {born} AS today, {born} - 1 AS yesterday, {born} + 1 AS tomorrow")
+    for day, age in (("today", 16), ("yesterday", 16), ("tomorrow", 15)):
+        row = cl.add_eligibility(days, (DRIVE,), dob=day).collect()[0]
+        assert (row.age, row.canDrive) == (age, age >= 16)
+
+
 def test_output_types(spark):
     rules = (DRIVE, cl.EligibilityRule("status", 18, yes="Yes", no="No"))
     for df in (

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from clientele.operators.layout import Layout, arrange
 
-_NEW, _OLD = "__new", "__old"
+# Name endings of the tables used in a swap. The new one also gets an id, so
+# that neither a killed job's remains nor another job is in its way; the old
+# one is found by its name alone.
+_NEW, _OLD = "__clientele_new_", "__clientele_old"
 
 
 def overwrite_table(
@@ -29,7 +33,8 @@ def overwrite_table(
     snapshot reads allow that directly; for the others Spark refuses, before
     any data is touched, and the rows are written to a second table which then
     takes the first one's place by renaming. The rows are written once, not
-    copied back, and the old table stays until the new one is complete.
+    copied back, and the old table stays until the new one is complete. A job
+    killed before that leaves its second table behind, to be dropped by hand.
     ``staged`` asks for the same care for an existing table in other cases,
     above all for a frame that reads the table's files by path, which Spark
     does not recognise, or to keep the old rows should the job fail.
@@ -69,7 +74,8 @@ def _save(df: DataFrame, table: str, fmt: str | None) -> None:
 
 
 def _write_and_swap(df: DataFrame, table: str, fmt: str | None) -> None:
-    spark, new, old = df.sparkSession, _beside(table, _NEW), _beside(table, _OLD)
+    spark = df.sparkSession
+    new, old = _beside(table, _NEW + uuid.uuid4().hex[:12]), _beside(table, _OLD)
     _save(df, new, fmt)
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     _rename(spark, table, old)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import clientele as cl
 from clientele.__main__ import main
 from clientele.plans import presets
+from clientele.sinks import tables as sink
 from tests.helpers import AS_OF, CASES
 
 # Each job's destination and the columns it adds.
@@ -118,7 +119,7 @@ def test_in_place_jobs_can_run_again_and_after_each_other(spark, retail):
 
 
 def test_in_place_job_restores_a_table_cut_off_mid_swap(spark, retail):
-    spark.sql(f"ALTER TABLE {retail}.customers RENAME TO {retail}.customers__old")
+    spark.sql(f"ALTER TABLE {retail}.customers RENAME TO {retail}.customers{sink._OLD}")
     assert cl.preset("vote18_in_place", retail, as_of=AS_OF).run(spark)
     assert spark.table(f"{retail}.customers").count() == len(CASES)
 

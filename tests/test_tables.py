@@ -162,7 +162,7 @@ def test_a_failed_swap_puts_the_old_table_back(spark, database, frame, monkeypat
     rename = sink._rename
 
     def break_second(spark, old, new):
-        if old.endswith("__new"):
+        if sink._NEW in old:
             raise RuntimeError("catalog lost")
         rename(spark, old, new)
 
@@ -172,11 +172,23 @@ def test_a_failed_swap_puts_the_old_table_back(spark, database, frame, monkeypat
     assert cl.frames_equal(spark.table(table), frame)
 
 
+def test_remains_of_a_killed_job_do_not_disturb(spark, database, frame):
+    table = f"{database}.t"
+    cl.overwrite_table(frame, table)
+    root = urlparse(spark.catalog.getDatabase(database).locationUri).path
+    os.makedirs(f"{root}/t{sink._NEW}0/_temporary")
+    frame.write.saveAsTable(f"{table}{sink._NEW}1")
+    frame.limit(1).write.saveAsTable(f"{table}{sink._OLD}")
+    cl.overwrite_table(cl.read_table(spark, table).where("id > 5"), table)
+    assert spark.table(table).count() == 994
+    assert tables_in(spark, database) == ["t", f"t{sink._NEW}1"]
+
+
 def test_restore_after_a_crash_between_the_renames(spark, database, frame):
     table = f"{database}.t"
     cl.overwrite_table(frame, table)
     assert not cl.restore_table(spark, table)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}{sink._OLD}")
     assert cl.restore_table(spark, table)
     assert cl.frames_equal(spark.table(table), frame)
     assert not cl.restore_table(spark, f"{database}.never_there")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clientele.llm.packing import pack_documents
+from clientele.llm.rans import encode_documents, read_documents
+from clientele.llm.scratch import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +19,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
 
+def op3_range_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "corpus")
+    encode_documents(_documents(spark, sf_dir), path)
+    return read_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_range_coding": op3_range_coding,
 }
 
 ORACLES: dict[str, str] = {}

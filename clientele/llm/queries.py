@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clientele.llm.line_dedup import line_report
 from clientele.llm.packing import pack_documents
 from clientele.llm.rans import encode_documents, read_documents
 from clientele.llm.scratch import scratch_path
@@ -25,9 +26,36 @@ def op3_range_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_range_coding": op3_range_coding,
+    "op6_line_dedup": op6_line_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+# The lower case of A-Z alone, and the white space that lines are stripped of.
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP6 = f"""
+WITH docs AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+    SELECT doc_id, lines[i] AS line, i, translate(trim(lines[i], {_WHITE}), {_AZ}) AS key
+    FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs)
+), firsts AS (
+    SELECT key, min(doc_id) AS first_doc FROM lines WHERE length(key) >= 10
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+    SELECT doc_id, line, i, first_doc IS NULL OR first_doc = doc_id AS kept
+    FROM lines LEFT JOIN firsts USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT kept) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (kept), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op6_line_dedup": OP6}

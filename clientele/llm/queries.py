@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clientele.llm.line_dedup import line_report
+from clientele.llm.line_frequency import quality_report
 from clientele.llm.packing import pack_documents
 from clientele.llm.rans import encode_documents, read_documents
 from clientele.llm.scratch import scratch_path
@@ -26,6 +27,10 @@ def op3_range_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path)
 
 
+def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(_documents(spark, sf_dir)).drop("host", "text_key")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_documents(spark, sf_dir))
 
@@ -33,6 +38,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_range_coding": op3_range_coding,
+    "op4_line_frequency": op4_line_frequency,
     "op6_line_dedup": op6_line_dedup,
 }
 
@@ -58,4 +64,47 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT kept) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op6_line_dedup": OP6}
+OP4 = f"""
+WITH docs AS (
+    SELECT doc_id, source, coalesce(text, '') AS text,
+        list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)),
+            lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM documents
+), grams AS (
+    SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM docs WHERE len(words) > 2)
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words
+    FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams), range(3) AS r(j)
+    WHERE n > 1 GROUP BY doc_id
+), base AS (
+    SELECT doc_id, source, text, lines, len(words) AS n_words,
+        length(array_to_string(words, '')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM docs LEFT JOIN covered USING (doc_id)
+), failed AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
+), lines AS (
+    SELECT doc_id, source, text,
+        regexp_replace(translate(trim(line, {_WHITE}), {_AZ}), '[0-9]+', '0', 'g') AS key,
+        length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars
+    FROM (SELECT doc_id, source, text, unnest(lines) AS line FROM base)
+), frequent AS (
+    SELECT source, key, count(DISTINCT text) AS n FROM lines GROUP BY source, key
+), hosts AS (
+    SELECT source, count(DISTINCT text) AS host_documents FROM base GROUP BY source
+), lost AS (
+    SELECT doc_id, sum(chars)::BIGINT AS lost_chars
+    FROM lines JOIN frequent USING (source, key) JOIN hosts USING (source)
+    WHERE n > 20 AND n > 0.1 * host_documents GROUP BY doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    coalesce(lost_chars, 0) AS lost_chars,
+    NOT base_failed AND word_chars - coalesce(lost_chars, 0) >= 0.3 * word_chars AS kept
+FROM failed LEFT JOIN lost USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op4_line_frequency": OP4, "op6_line_dedup": OP6}

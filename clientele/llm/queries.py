@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clientele.llm.gray_index import near_duplicates
 from clientele.llm.line_dedup import line_report
 from clientele.llm.line_frequency import quality_report
 from clientele.llm.packing import pack_documents
@@ -31,6 +32,10 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_documents(spark, sf_dir)).drop("host", "text_key")
 
 
+def op5_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_documents(spark, sf_dir))
 
@@ -39,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_range_coding": op3_range_coding,
     "op4_line_frequency": op4_line_frequency,
+    "op5_gray_index": op5_gray_index,
     "op6_line_dedup": op6_line_dedup,
 }
 

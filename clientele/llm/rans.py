@@ -171,7 +171,7 @@ def encode_documents(
     """Write the token ids of all documents, each with the end id, to a new corpus at ``path``.
 
     Documents come in ascending order of id, those without an id last; documents with one id
-    in the order of their coded ids. A null text is an empty one, so it holds the end id
+    in an order that depends on their ids. A null text is an empty one, so it holds the end id
     alone. Other columns are not looked at. An empty table gives an empty corpus.
     """
 
@@ -192,10 +192,10 @@ def encode_documents(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in _ids(batch):
-                found = np.bincount(ids, minlength=len(total))
-                found[: len(total)] += total
-                total = found
+            ids = np.concatenate([np.zeros(0, "<u2"), *_ids(batch)])
+            found = np.bincount(ids, minlength=len(total))
+            found[: len(total)] += total
+            total = found
         tokens = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(total[tokens])], ["token", "n"])
 
@@ -241,7 +241,8 @@ def encode_documents(
             yield segment()
 
     parts = max(1, -(-sum(r["n"] for r in rows) // PART))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("ids")]
+    # The hash only orders rows of one id; the ids themselves would weigh down the sort.
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("ids")]
     ordered = coded.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     ordered.mapInArrow(
         encode,
@@ -256,7 +257,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(f"{path}/frequencies").collect()
     segments = spark.read.parquet(f"{path}/segments")
     by_part = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    # One row per part of the corpus.
+    # One row per part of the corpus, that is for each 8 million tokens, so this can be sorted
+    # by one task and broadcast.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     table = sorted((r["token"], r["freq"]) for r in rows)
@@ -277,7 +279,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in columns], schema=_READ
                 )
 
-    placed = segments.join(before, "part").select(
+    placed = segments.join(F.broadcast(before), "part").select(
         (F.col("before") + F.col("first_token")).alias("start"), "doc_ids", "sizes", "data"
     )
     return placed.mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clientele.llm.containment import contaminated
 from clientele.llm.gray_index import near_duplicates
 from clientele.llm.line_dedup import line_report
 from clientele.llm.line_frequency import quality_report
@@ -40,12 +41,18 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_documents(spark, sf_dir))
 
 
+def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contaminated(_documents(spark, sf_dir), benchmark).drop("text_key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_range_coding": op3_range_coding,
     "op4_line_frequency": op4_line_frequency,
     "op5_gray_index": op5_gray_index,
     "op6_line_dedup": op6_line_dedup,
+    "op9_containment": op9_containment,
 }
 
 # The lower case of A-Z alone, and the white space that lines are stripped of.
@@ -113,4 +120,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed LEFT JOIN lost USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op4_line_frequency": OP4, "op6_line_dedup": OP6}
+OP9 = f"""
+WITH texts AS (
+    SELECT 'doc' AS kind, doc_id AS id, text FROM documents
+    UNION ALL SELECT 'item', item_id, text FROM benchmark
+), words AS (
+    SELECT kind, id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), {_AZ}), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+    FROM texts
+), shingles AS (
+    SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS shingle
+    FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT id AS item_id, count(*) AS n_shingles FROM shingles WHERE kind = 'item' GROUP BY id
+)
+SELECT doc_id, item_id, n_shared, n_shingles
+FROM (
+    SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+    FROM shingles i JOIN shingles d USING (shingle)
+    WHERE i.kind = 'item' AND d.kind = 'doc' GROUP BY ALL
+) JOIN sizes USING (item_id)
+WHERE n_shared >= 0.8 * n_shingles
+"""
+
+ORACLES: dict[str, str] = {"op9_containment": OP9, "op4_line_frequency": OP4, "op6_line_dedup": OP6}

@@ -13,12 +13,17 @@ from clientele.llm.line_frequency import quality_report
 from clientele.llm.packing import pack_documents
 from clientele.llm.rans import encode_documents, read_documents
 from clientele.llm.scratch import scratch_path
+from clientele.llm.site_tree import extract
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_site_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir))
 
@@ -47,6 +52,7 @@ def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_tree": op1_site_tree,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_range_coding": op3_range_coding,
     "op4_line_frequency": op4_line_frequency,

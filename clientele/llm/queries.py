@@ -11,6 +11,7 @@ from clientele.llm.gray_index import near_duplicates
 from clientele.llm.line_dedup import line_report
 from clientele.llm.line_frequency import quality_report
 from clientele.llm.packing import pack_documents
+from clientele.llm.pii import find_personal_data
 from clientele.llm.rans import encode_documents, read_documents
 from clientele.llm.scratch import scratch_path
 from clientele.llm.site_tree import extract
@@ -46,6 +47,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_documents(spark, sf_dir))
 
 
+def op8_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_documents(spark, sf_dir))
+
+
 def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contaminated(_documents(spark, sf_dir), benchmark).drop("text_key")
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_frequency": op4_line_frequency,
     "op5_gray_index": op5_gray_index,
     "op6_line_dedup": op6_line_dedup,
+    "op8_bilstm_crf": op8_bilstm_crf,
     "op9_containment": op9_containment,
 }
 

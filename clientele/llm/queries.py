@@ -13,6 +13,7 @@ from clientele.llm.line_frequency import quality_report
 from clientele.llm.packing import pack_documents
 from clientele.llm.pii import find_personal_data
 from clientele.llm.rans import encode_documents, read_documents
+from clientele.llm.role_repair import repair
 from clientele.llm.scratch import scratch_path
 from clientele.llm.site_tree import extract
 
@@ -47,6 +48,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_documents(spark, sf_dir))
 
 
+def op7_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(spark.read.parquet(f"{sf_dir}/conversations.parquet")).drop("part", "pos")
+
+
 def op8_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(_documents(spark, sf_dir))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_frequency": op4_line_frequency,
     "op5_gray_index": op5_gray_index,
     "op6_line_dedup": op6_line_dedup,
+    "op7_role_repair": op7_role_repair,
     "op8_bilstm_crf": op8_bilstm_crf,
     "op9_containment": op9_containment,
 }

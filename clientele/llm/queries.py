@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clientele.llm.containment import contaminated
 from clientele.llm.gray_index import near_duplicates
+from clientele.llm.license_scan import scan
 from clientele.llm.line_dedup import line_report
 from clientele.llm.line_frequency import quality_report
 from clientele.llm.packing import pack_documents
@@ -61,6 +62,10 @@ def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_documents(spark, sf_dir), benchmark).drop("text_key")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_tree": op1_site_tree,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_role_repair": op7_role_repair,
     "op8_bilstm_crf": op8_bilstm_crf,
     "op9_containment": op9_containment,
+    "op10_license_scan": op10_license_scan,
 }
 
 # The lower case of A-Z alone, and the white space that lines are stripped of.

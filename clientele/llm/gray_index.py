@@ -317,5 +317,6 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The documents that name their group, all columns as they were. Documents without an
     id stay; of rows that repeat an id, all stay if that id names its group."""
     found = near_duplicates(docs, id_col, text_col, **kwargs)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(stored(gone, "copies"), F.col(id_col).cast("bigint") == F.col("_gone"), "left_anti")
+    # Stored, so that Spark knows how many there are when it chooses the join.
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    return docs.join(gone, docs[id_col].cast("bigint") == gone["doc_id"], "left_anti")

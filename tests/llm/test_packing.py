@@ -1,0 +1,105 @@
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clientele.llm.packing import OpenBins, best_fit_plan, pack_documents
+from clientele.llm.tokens import encoder
+from tests.llm.data import awkward, crc, nothing, tokens
+
+
+def plain_best_fit(lengths, capacity):
+    bins = []
+    for n in sorted(lengths, reverse=True):
+        fits = [b for b in bins if b[0] >= n]
+        if fits:
+            min(fits)[0] -= n
+        else:
+            bins.append([capacity - n])
+    return len(bins)
+
+
+@given(st.lists(st.integers(1, 40), max_size=120), st.integers(40, 60))
+@settings(max_examples=150, deadline=None)
+def test_plan_is_best_fit_decreasing(lengths, capacity):
+    counts = defaultdict(int)
+    for n in lengths:
+        counts[n] += 1
+    plan = best_fit_plan(counts.items(), capacity)
+    places = []
+    for length, n in counts.items():
+        own = plan[plan[:, 0] == length]
+        for rank in range(n):
+            _, first, bin_, each, offset = own[np.searchsorted(own[:, 1], rank, "right") - 1]
+            places.append((bin_ + (rank - first) // each, offset + (rank - first) % each * length, length))
+    filled = defaultdict(int)
+    for bin_, offset, length in sorted(places):
+        assert filled[bin_] == offset
+        filled[bin_] += length
+    assert all(n <= capacity for n in filled.values())
+    assert len(filled) == plain_best_fit(lengths, capacity)
+
+
+def test_tightest_bin():
+    bins = OpenBins(10)
+    assert bins.tightest(1) is None
+    bins.push(4, 0, 3)
+    bins.push(9, 3, 1)
+    assert [bins.tightest(n) for n in (1, 4, 5, 9, 10)] == [4, 4, 9, 9, None]
+    assert bins.pop(4) == (0, 3)
+    assert bins.tightest(1) == 9
+
+
+def test_too_long_a_piece_is_refused():
+    with pytest.raises(ValueError):
+        best_fit_plan([(11, 1)], 10)
+
+
+TEXTS = [
+    "", " ", "  a", "a  ", "a b", "\n a\n\nb  c", "don't  I'll\tbe", "é É ΣΣ aΣ b", "<|endoftext|> a<|endoftext|>b",
+    " \x1c a", "a\xa0 b", "a 　b", "İ ß", " \n", "1 23  4.5", "x\x01 y\x01z", "end ", None, "ab" * 5000,
+]
+
+
+@pytest.mark.parametrize("name, words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_ids_are_the_tokenizers(name, words):
+    found = [x.tolist() for x in encoder(name, words).encode(pa.array(TEXTS))]
+    assert found == [tokens(name, t)[:-1] for t in TEXTS]
+
+
+@given(st.lists(st.text(alphabet="ab ,.'\n\t sΣé́\xa01", max_size=30), max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_ids_of_any_text(texts):
+    for name, words in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
+        found = [x.tolist() for x in encoder(name, words).encode(pa.array(texts, pa.string()))]
+        assert found == [tokens(name, t)[:-1] for t in texts]
+
+
+def test_awkward_documents(spark):
+    docs = awkward(spark)
+    rows = pack_documents(docs).collect()
+    by_doc = defaultdict(list)
+    for r in rows:
+        by_doc[r["doc_id"]].append(tuple(r)[1:5])
+    expected, total = defaultdict(list), 0
+    for d in docs.collect():
+        ids = tokens("byte_bpe_50k.json", d["text"])
+        total += len(ids)
+        at, piece, n = 0, 0, len(ids) % 1024 or 1024
+        while at < len(ids):
+            expected[d["doc_id"]].append((piece, at, n, crc(ids[at : at + n])))
+            at, piece, n = at + n, piece + 1, 1024
+    assert {k: sorted(v) for k, v in by_doc.items()} == {k: sorted(v) for k, v in expected.items()}
+    filled = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert filled[r["sequence_id"]] == r["offset"]
+        filled[r["sequence_id"]] += r["length"]
+    assert max(filled.values()) <= 1024
+    assert len(filled) == plain_best_fit([r["length"] for r in rows], 1024) >= -(-total // 1024)
+
+
+def test_empty_table(spark):
+    assert pack_documents(nothing(spark)).collect() == []

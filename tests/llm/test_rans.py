@@ -1,0 +1,74 @@
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from clientele.llm import rans
+from clientele.llm.rans import Frequencies, decode_blocks, encode_blocks, encode_documents, read_documents
+from clientele.llm.scratch import scratch_path
+from tests.llm.data import awkward, crc, nothing, tokens
+
+
+def table_of(ids):
+    symbols, counts = np.unique(ids, return_counts=True)
+    return Frequencies.from_counts(symbols.astype(np.int64), counts.astype(object))
+
+
+@given(st.lists(st.integers(0, 50_000), max_size=300))
+@settings(max_examples=80, deadline=None)
+def test_round_trip(ids):
+    ids = np.array(ids, dtype=np.uint32)
+    table = table_of(ids)
+    assert decode_blocks(encode_blocks(ids, table), table).tolist() == ids.tolist()
+
+
+def test_many_blocks_from_any_checkpoint():
+    ids = (np.random.default_rng(0).zipf(1.3, 3 * rans.BLOCK + 777) % 40_000).astype(np.uint32)
+    table = table_of(ids)
+    data = encode_blocks(ids, table)
+    assert len(data) < ids.nbytes / 2
+    assert (decode_blocks(data, table) == ids).all()
+    assert (decode_blocks(data, table, 1, 2) == ids[rans.BLOCK : 2 * rans.BLOCK]).all()
+    assert (decode_blocks(data, table, 3) == ids[3 * rans.BLOCK :]).all()
+
+
+def test_frequencies_fill_the_scale_and_keep_rare_tokens():
+    counts = np.array([10**15] + [1] * 60_000, dtype=object)
+    table = Frequencies.from_counts(np.arange(len(counts)), counts)
+    assert table.small.sum() == 1 << table.scale_bits and table.small.min() == 1
+
+
+def test_damage_is_found():
+    ids = np.arange(1000, dtype=np.uint32) % 50
+    table = table_of(ids)
+    data = bytearray(encode_blocks(ids, table))
+    data[-3] ^= 64
+    with pytest.raises(ValueError, match="checksum"):
+        decode_blocks(bytes(data), table)
+    with pytest.raises(ValueError, match="format"):
+        decode_blocks(b"XXXX" + bytes(data[4:]), table)
+
+
+def test_awkward_documents(spark):
+    docs, path = awkward(spark), scratch_path(spark, "corpus")
+    encode_documents(docs, path)
+    rows = read_documents(spark, path).orderBy("start").collect()
+    at = 0
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
+    ids = [r["doc_id"] for r in rows]
+    known = [i for i in ids if i is not None]
+    assert ids == sorted(known) + [None] * 2
+    expected = []
+    for d in docs.collect():
+        own = tokens("word_bpe_49k.json", d["text"])
+        expected.append((d["doc_id"], len(own), crc(own)))
+    key = lambda x: (x[0] is None, x[0] or 0, x[1:])
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows), key=key) == sorted(expected, key=key)
+
+
+def test_empty_table(spark):
+    path = scratch_path(spark, "corpus")
+    encode_documents(nothing(spark), path)
+    assert read_documents(spark, path).collect() == []

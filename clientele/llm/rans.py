@@ -32,7 +32,7 @@ from clientele.llm.tokens import END_ID, encoder
 
 BLOCK, LANES = 16384, 32
 #: Tokens after which a segment ends with the document, and tokens for one output part.
-SEGMENT, PART = 1 << 18, 8_000_000
+SEGMENT, PART = 1 << 20, 8_000_000
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sQIII")
 _SEGMENTS = pa.schema(

@@ -121,7 +121,9 @@ class Encoder:
 
     def _encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if self._words:
-            lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+            # A lone full stop or comma behind a letter is a token of its own.
+            cut = pc.replace_substring_regex(pc.ascii_lower(texts), r"(\pL)([.,])([ \n])", r"\1 \2\3")
+            lists = pc.ascii_split_whitespace(cut)
         else:
             odd = pc.match_substring_regex(texts, _SPACED_RUN)
             if pc.any(odd).as_py():

@@ -1,7 +1,14 @@
 """Customer-table analytics for Spark: ages, eligibility flags, full names,
 customer-order joins and safe table overwrites, as composable DataFrame operators."""
 
-from clientele.functions import age_years, birth_cutoff, flag, full_name, has_reached
+from clientele.functions import (
+    age_between,
+    age_years,
+    birth_cutoff,
+    flag,
+    full_name,
+    has_reached,
+)
 from clientele.operators import (
     EligibilityRule,
     add_age,
@@ -20,7 +27,7 @@ from clientele.operators import (
     sort_rows,
 )
 from clientele.plans import PRESETS, Pipeline, preset
-from clientele.sinks import overwrite_table, restore_table
+from clientele.sinks import drop_table, overwrite_table, restore_table
 from clientele.sources import get_session, read_table
 
 __all__ = [
@@ -30,11 +37,13 @@ __all__ = [
     "add_age",
     "add_eligibility",
     "add_full_name",
+    "age_between",
     "age_years",
     "arrange",
     "birth_cutoff",
     "count_rows",
     "count_where",
+    "drop_table",
     "first_row",
     "flag",
     "frame_diff",

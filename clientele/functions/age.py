@@ -65,6 +65,17 @@ def has_reached(dob: Column | str, years: int, as_of: AsOf = None) -> Column:
     return _birth_date(dob) <= birth_cutoff(years, as_of)
 
 
+def age_between(dob: Column | str, low: int, high: int, as_of: AsOf = None) -> Column:
+    """True where the age is from ``low`` to ``high``, both included; null for a null ``dob``.
+
+    A range on the stored date, of which Parquet scans see both bounds.
+    """
+    if low > high:
+        raise ValueError(f"No age lies between {low} and {high}.")
+    born = _birth_date(dob)
+    return (born <= birth_cutoff(low, as_of)) & (born > birth_cutoff(high + 1, as_of))
+
+
 def flag(condition: Column, yes: Any = True, no: Any = False) -> Column:
     """``yes`` where the condition holds, else ``no``, also where it is null."""
     return F.when(condition, F.lit(yes)).otherwise(F.lit(no))

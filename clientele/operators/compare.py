@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_WEIGHT = "__weight"
+from clientele.operators.naming import free_name
 
 
 def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -17,25 +18,48 @@ def frame_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     weigh +1 and right rows -1, and equal rows are summed up per task before
     they move, so that many copies of one row travel as a few partial sums
     and are never written out again one by one.
+
+    Types have to agree, but a number may have another width on the other side.
     """
     names = sorted(left.columns)
     if names != sorted(right.columns):
         raise ValueError(f"Column names differ: {names} and {sorted(right.columns)}.")
+    if unlike := _unlike_types(left, right):
+        raise ValueError(f"Column types differ: {unlike}.")
     if {"side", "copies"} & {name.lower() for name in names}:
         raise ValueError("The names 'side' and 'copies' are taken by the result.")
     columns = [F.col(f"`{name}`") for name in names]  # names may hold dots
-    plus, minus = (F.lit(n).cast("bigint").alias(_WEIGHT) for n in (1, -1))
+    weight = free_name("__weight", left)
+    plus, minus = (F.lit(n).cast("bigint").alias(weight) for n in (1, -1))
     weighed = left.select(*columns, plus).unionByName(right.select(*columns, minus))
-    surplus = weighed.groupBy(*columns).agg(F.sum(_WEIGHT).alias(_WEIGHT))
-    return surplus.where(F.col(_WEIGHT) != 0).select(
+    surplus = weighed.groupBy(*columns).agg(F.sum(weight).alias(weight))
+    return surplus.where(F.col(weight) != 0).select(
         *columns,
-        F.when(F.col(_WEIGHT) > 0, "left").otherwise("right").alias("side"),
-        F.abs(_WEIGHT).alias("copies"),
+        F.when(F.col(weight) > 0, "left").otherwise("right").alias("side"),
+        F.abs(weight).alias("copies"),
     )
 
 
 def frames_equal(left: DataFrame, right: DataFrame) -> bool:
-    """Whether two frames hold the same columns and the same rows."""
-    if sorted(left.columns) != sorted(right.columns):
+    """Whether two frames hold the same columns and the same rows. Columns of different
+    types make frames unequal, unless both are numbers."""
+    if sorted(left.columns) != sorted(right.columns) or _unlike_types(left, right):
         return False
     return frame_diff(left, right).isEmpty()
+
+
+def _unlike_types(left: DataFrame, right: DataFrame) -> list[str]:
+    theirs = {f.name: f.dataType for f in right.schema.fields}
+    return [f.name for f in left.schema.fields if not _alike(f.dataType, theirs[f.name])]
+
+
+def _alike(a: T.DataType, b: T.DataType) -> bool:
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return True
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return _alike(a.elementType, b.elementType)
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return a.names == b.names and all(
+            _alike(x.dataType, y.dataType) for x, y in zip(a.fields, b.fields)
+        )
+    return type(a) is type(b)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-_LEFT_SLICE, _RIGHT_SLICE = "__left_slice", "__right_slice"
+from clientele.operators.naming import free_name, row_hash
 
 
 def join_on(
@@ -17,8 +17,9 @@ def join_on(
     left_key: str = "id",
     right_key: str = "customer_id",
     prefix: str = "right_",
-    hot_keys: Sequence[Any] = (),
-    slices: int = 32,
+    hot_keys: Mapping[Any, int] | None = None,
+    hot_left_keys: Mapping[Any, int] | None = None,
+    slice_rows: int = 1_000_000,
 ) -> DataFrame:
     """Inner equi-join that keeps all columns of both sides, both keys included.
 
@@ -26,48 +27,72 @@ def join_on(
     result can be saved as a table. Null keys match nothing.
 
     There is no broadcast hint: Spark broadcasts a side only below its size
-    threshold and otherwise sort-merges. A key that holds a large share of the
-    right side then makes one oversized partition, which adaptive execution
-    splits at run time. Where adaptive execution is off, name such keys in
-    ``hot_keys`` (``heavy_keys`` finds them): their right rows are dealt over
-    ``slices`` partitions and only their left rows are repeated to match.
+    threshold and otherwise sort-merges. A key that holds a large share of a
+    side then makes one oversized partition, which adaptive execution splits
+    at run time. Where adaptive execution is off, give such keys and their row
+    counts (``heavy_keys`` finds both) in ``hot_keys`` for the right side and
+    ``hot_left_keys`` for the left one. Their rows are dealt over slices of
+    about ``slice_rows`` rows, and only the other side's rows of those keys are
+    repeated to match.
     """
-    if slices < 1:
-        raise ValueError("slices must be 1 or more.")
+    if slice_rows < 1:
+        raise ValueError("slice_rows must be 1 or more.")
     right, right_key = _rename_collisions(left, right, right_key, prefix)
-    if not hot_keys:
+    if not hot_keys and not hot_left_keys:
         return left.join(right, left[left_key] == right[right_key], "inner")
 
-    def is_hot(key: Column) -> Column:
-        return key.isin(list(hot_keys))
-
-    # The partition id spreads equal rows too, and unlike a random number it
-    # comes out the same when a lost task is run again.
-    dealt = F.pmod(F.spark_partition_id(), F.lit(slices))
-    every_slice = F.sequence(F.lit(0), F.lit(slices - 1))
-    only_one = F.array(F.lit(0))
-    left = left.where(left[left_key].isNotNull()).withColumn(
-        _LEFT_SLICE, F.explode(F.when(is_hot(left[left_key]), every_slice).otherwise(only_one))
-    )
-    right = right.where(right[right_key].isNotNull()).withColumn(
-        _RIGHT_SLICE, F.when(is_hot(right[right_key]), dealt).otherwise(0)
+    names = [free_name(f"__{n}", left, right) for n in ("left", "right", "left_", "right_")]
+    ours, theirs = _slices(hot_left_keys, slice_rows), _slices(hot_keys, slice_rows)
+    left = _dealt(left, left_key, names[0], ours, names[1], theirs)
+    right = _dealt(right, right_key, names[3], theirs, names[2], ours)
+    matched = (
+        (left[left_key] == right[right_key])
+        & (left[names[0]] == right[names[2]])
+        & (left[names[1]] == right[names[3]])
     )
-    matched = (left[left_key] == right[right_key]) & (left[_LEFT_SLICE] == right[_RIGHT_SLICE])
-    return left.join(right, matched, "inner").drop(_LEFT_SLICE, _RIGHT_SLICE)
+    return left.join(right, matched, "inner").drop(*names)
 
 
-def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> list[Any]:
-    """The key values that each hold more than ``share`` of all rows.
+def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> dict[Any, int]:
+    """The key values that each hold more than ``share`` of all rows, with their row counts.
 
     Fewer than ``1 / share`` keys can do so, which bounds what reaches the
-    driver. Reads the key column only and counts per partition before it
+    driver. Reads the key column only, once, and counts per partition before it
     shuffles.
     """
     if not 0 < share < 1:
         raise ValueError("share must lie between 0 and 1.")
-    floor = df.count() * share
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    return [row[0] for row in counts.where(F.col("n") > floor).select(key).collect()]
+    seen = Observation()
+    counts = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
+    counts = counts.observe(seen, F.sum("n").alias("total"))
+    top = counts.orderBy(F.col("n").desc()).limit(int(1 / share) + 1).collect()
+    floor = (seen.get["total"] or 0) * share
+    return {row["key"]: row["n"] for row in top if row["n"] > floor and row["key"] is not None}
+
+
+def _slices(counts: Mapping[Any, int] | None, rows: int) -> dict[Any, int]:
+    return {key: -(-n // rows) for key, n in (counts or {}).items() if n > rows}
+
+
+def _number(key: Column, slices: dict[Any, int]) -> Column:
+    """How many slices a key has."""
+    column = F.lit(1)
+    for n in sorted(set(slices.values())):
+        keys = [k for k, m in slices.items() if m == n]
+        column = F.when(key.isin(keys), F.lit(n)).otherwise(column)
+    return column
+
+
+def _dealt(
+    df: DataFrame, key: str, own: str, slices: dict[Any, int], other: str, others: dict[Any, int]
+) -> DataFrame:
+    """Rows of this side's hot keys go to one of their slices, rows of the other side's hot
+    keys are repeated for each of theirs."""
+    dealt = F.pmod(row_hash(df), _number(df[key], slices)).cast("int")
+    every = F.sequence(F.lit(0), _number(df[key], others) - 1)
+    return df.where(df[key].isNotNull()).withColumns(
+        {own: dealt if slices else F.lit(0)}
+    ).withColumn(other, F.explode(every) if others else F.lit(0))
 
 
 def _rename_collisions(

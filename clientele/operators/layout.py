@@ -17,17 +17,18 @@ def arrange(df: DataFrame, layout: Layout = None) -> DataFrame:
         tasks, with no shuffle; the best choice for large tables.
     ``"compact"``
         As few partitions as the session's advisory partition size allows:
-        one for a small table, many for a large one. Map outputs are packed
-        together whole, so the shuffle has one block per map task and no sort,
-        and a partition exceeds that size by one map task's output at most.
-        Left as is where adaptive execution is off.
+        one for a small table, many for a large one. Rows are dealt over
+        ``spark.sql.shuffle.partitions`` partitions, and adaptive execution
+        merges or splits those; it must be on.
     ``n`` (2 or more)
         Exactly ``n`` partitions of equal row count, by a full shuffle.
     """
     if layout is None:
         return df
     if layout == "compact":
-        return df.hint("rebalance", 1)
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() != "true":
+            raise ValueError("layout='compact' needs spark.sql.adaptive.enabled.")
+        return df.hint("rebalance")
     if isinstance(layout, bool) or not isinstance(layout, int) or layout < 2:
         # One partition would pass the whole table through one task.
         raise ValueError(f"layout must be None, 'compact' or a number from 2 up, not {layout!r}.")

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPREAD = "__spread"
+from clientele.operators.naming import free_name, row_hash
 
 
-def sort_rows(df: DataFrame, *keys: Column | str) -> DataFrame:
+def sort_rows(df: DataFrame, *keys: Column | str, cut_ties: bool = True) -> DataFrame:
     """The frame in order of ``keys``, or of all its columns; nulls first.
 
     A range partitioner cannot cut between rows with equal keys, so a key that
     holds much of the data would land in one task. Ties are therefore ordered
-    by the partition they come from, which lets Spark cut inside a tie, copies
-    of one row included, and does not change the order of the keys.
+    by a hash of the row and its partition, which lets Spark cut inside a tie,
+    copies of one row included, and does not change the order of the keys.
+    ``cut_ties=False`` saves that column where the keys hardly repeat.
     """
-    order = keys or tuple(df.columns)
-    return df.withColumn(_SPREAD, F.spark_partition_id()).orderBy(*order, _SPREAD).drop(_SPREAD)
+    order = keys or tuple(F.col(f"`{c}`") for c in df.columns)
+    if not cut_ties:
+        return df.orderBy(*order)
+    tie = free_name("__tie", df)
+    return df.withColumn(tie, row_hash(df)).orderBy(*order, tie).drop(tie)
 
 
 def first_row(df: DataFrame, *keys: Column | str) -> DataFrame:

@@ -20,9 +20,9 @@ class Pipeline:
     """Reads ``sources``, applies ``transform`` to them, overwrites ``destination``.
 
     The destination may be one of the sources. ``tolerates`` lists the error
-    classes that ``run(on_error="log")`` logs instead of raising. With
-    ``staged`` an existing destination keeps its rows until the new ones are
-    complete, as it always does when the job reads it.
+    classes that ``run(on_error="log")`` logs instead of raising. An existing
+    destination keeps its rows until the new ones are complete, unless
+    ``staged`` is off.
     """
 
     name: str
@@ -32,7 +32,7 @@ class Pipeline:
     layout: Layout = None
     max_scan_partitions: int | None = None
     tolerates: tuple[type[Exception], ...] = ()
-    staged: bool = False
+    staged: bool = True
 
     def result(self, spark: SparkSession) -> DataFrame:
         """The transformed frame, not yet run."""
@@ -47,8 +47,9 @@ class Pipeline:
             raise ValueError(f"on_error must be 'raise' or 'log', not {on_error!r}.")
         log.info("%s: %s -> %s", self.name, ", ".join(self.sources), self.destination)
         try:
-            if self.destination in self.sources:
-                restore_table(spark, self.destination)
+            # Whatever an earlier job left cut off between two renames.
+            for table in dict.fromkeys((*self.sources, self.destination)):
+                restore_table(spark, table)
             overwrite_table(
                 self.result(spark), self.destination, layout=self.layout, staged=self.staged
             )

@@ -81,26 +81,40 @@ PRESETS: dict[str, _Job] = {
 
 def preset(
     name: str,
-    database: str,
+    database: str | None = None,
     as_of: AsOf = None,
     rules: tuple[EligibilityRule, ...] | None = None,
     fixed_layout: bool = False,
-    staged: bool = False,
+    staged: bool = True,
+    source_database: str | None = None,
+    destination_database: str | None = None,
+    sources: tuple[str, ...] | None = None,
+    destination: str | None = None,
+    dob: str = "dob",
 ) -> Pipeline:
-    """A standard job on the tables of ``database``. ``rules`` replaces the
-    flag columns of an age job, for instance to set other ages."""
+    """A standard job on the tables of ``database``, or from ``source_database`` to
+    ``destination_database``. ``rules`` replaces the flag columns of an age job, for
+    instance to set other ages; ``dob`` names its birth column; ``sources`` and
+    ``destination`` replace the job's table names."""
     job = PRESETS[name]
+    read_from, write_to = source_database or database, destination_database or database
+    if not read_from or not write_to:
+        raise ValueError("Give a database, or one to read from and one to write to.")
+    if sources is not None and len(sources) != len(job.sources):
+        raise ValueError(f"{name} reads {len(job.sources)} tables: {', '.join(job.sources)}.")
     transform = job.transform
     if job.dated:
-        transform = partial(transform, as_of=as_of)
+        transform = partial(transform, as_of=as_of, dob=dob)
         if rules is not None:
             transform = partial(transform, rules=rules)
     elif rules is not None:
         raise ValueError(f"{name} has no eligibility rules.")
+    elif dob != "dob":
+        raise ValueError(f"{name} reads no birth column.")
     return Pipeline(
         name=name,
-        sources=tuple(f"{database}.{s}" for s in job.sources),
-        destination=f"{database}.{job.destination}",
+        sources=tuple(f"{read_from}.{s}" for s in sources or job.sources),
+        destination=f"{write_to}.{destination or job.destination}",
         transform=transform,
         layout=job.layout if fixed_layout else None,
         max_scan_partitions=job.max_scan_partitions if fixed_layout else None,

@@ -1,5 +1,5 @@
-"""Catalog tables to write to."""
+"""Writing results to catalog tables."""
 
-from clientele.sinks.tables import overwrite_table, restore_table
+from clientele.sinks.tables import drop_table, overwrite_table, restore_table
 
-__all__ = ["overwrite_table", "restore_table"]
+__all__ = ["drop_table", "overwrite_table", "restore_table"]

@@ -1,19 +1,46 @@
-"""Table overwrites."""
+"""Table overwrites.
+
+Formats with snapshots overwrite a table in one step. For the others the new rows are
+written to a second table at a location of its own, which then takes the first one's place
+by two renames in the catalog; the old files go last. A table with a location of its own
+does not move when it is renamed, so that from the second overwrite on no file is moved or
+copied, on object stores neither. The first overwrite of a table in the warehouse folder
+renames that folder once: a step for a file system that renames, a copy of the old rows for
+a store that does not.
+"""
 
 from __future__ import annotations
 
 import re
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from clientele.operators.layout import Layout, arrange
 
-# Name endings of the tables used in a swap. The new one also gets an id, so
-# that neither a killed job's remains nor another job is in its way; the old
-# one is found by its name alone.
-_NEW, _OLD = "__clientele_new_", "__clientele_old"
+# Name endings of the tables in a swap. Both get the id of the run, so that neither
+# another job nor a killed job's remains are in the way.
+_NEW, _OLD = "__clientele_new_", "__clientele_old_"
+#: Marks a table whose location this module chose, so that its files are ours to delete.
+_PLACED = "clientele.placed"
+#: Providers whose own overwrite keeps the old rows until it is done.
+SNAPSHOT_FORMATS = frozenset({"delta", "iceberg", "hudi", "paimon"})
+
+
+@dataclass(frozen=True)
+class _Shape:
+    """What a table is besides its rows and columns."""
+
+    provider: str
+    location: str
+    external: bool
+    partitions: tuple[str, ...] = ()
+    buckets: int = 0
+    bucket_columns: tuple[str, ...] = ()
+    sort_columns: tuple[str, ...] = ()
+    comment: str | None = None
+    properties: dict[str, str] = field(default_factory=dict)
 
 
 def overwrite_table(
@@ -22,69 +49,176 @@ def overwrite_table(
     schema: str | None = None,
     layout: Layout = None,
     fmt: str | None = None,
-    staged: bool = False,
+    staged: bool = True,
 ) -> None:
-    """Replace the rows and the schema of a catalog table, or create it.
+    """Replace the rows and the columns of a catalog table, or create it.
 
     ``layout`` sets the number of files, see ``operators.arrange``. ``fmt``
-    defaults to the session's default format.
-
-    A table may be overwritten with a frame that reads it. Formats with
-    snapshot reads allow that directly; for the others Spark refuses, before
-    any data is touched, and the rows are written to a second table which then
-    takes the first one's place by renaming. The rows are written once, not
-    copied back, and the old table stays until the new one is complete. A job
-    killed before that leaves its second table behind, to be dropped by hand.
-    ``staged`` asks for the same care for an existing table in other cases,
-    above all for a frame that reads the table's files by path, which Spark
-    does not recognise, or to keep the old rows should the job fail.
+    defaults to the table's format, for a new table to the session's.
+
+    The old rows stay until the new ones are complete, also if the job fails or
+    the frame reads the table, by name or by path. The table keeps its
+    partitioning, bucketing, sorting, comment and properties; a frame that
+    lacks a column these need is refused. Its files come to lie beside where
+    they were, and those it had are deleted. A job killed before the swap
+    leaves its second table behind, to be dropped with ``drop_table``; one
+    killed between the two renames is mended by ``restore_table``, which is
+    tried first here. For the moment between them readers do not find the table.
+
+    ``staged=False`` drops the old rows first. It is for tables whose rows can
+    be made again and that do not fit twice, and loses them if the job fails.
     """
     spark = df.sparkSession
     table = f"{schema}.{name}" if schema else name
     arranged = arrange(df, layout)
-    if staged and spark.catalog.tableExists(table):
-        _write_and_swap(arranged, table, fmt)
+    restore_table(spark, table)
+    if not spark.catalog.tableExists(table):
+        _writer(arranged, fmt).saveAsTable(table)
         return
-    try:
-        _save(arranged, table, fmt)
-    except AnalysisException as error:
-        if error.getCondition() != "UNSUPPORTED_OVERWRITE.TABLE":
-            raise
-        _write_and_swap(arranged, table, fmt)
+    shape = _shape_of(spark, table)
+    provider = (fmt or shape.provider).lower()
+    if provider in SNAPSHOT_FORMATS:
+        writer = _writer(arranged, provider, shape).mode("overwrite")
+        writer.option("overwriteSchema", "true").saveAsTable(table)
+        return
+    _check_columns(df, shape)
+    if staged:
+        _write_and_swap(arranged, table, provider, shape)
+        return
+    writer = _writer(arranged, provider, shape).mode("overwrite")
+    if shape.external:
+        writer = writer.option("path", shape.location)
+    writer.saveAsTable(table)
+    _describe(spark, table, shape)
 
 
 def restore_table(spark: SparkSession, name: str) -> bool:
     """Put the old table back if a swap was cut off between its two renames.
     Returns whether there was anything to restore."""
-    old = _beside(name, _OLD)
-    if spark.catalog.tableExists(name) or not spark.catalog.tableExists(old):
+    if spark.catalog.tableExists(name):
+        return False
+    found = _remains(spark, name, _OLD)
+    if not found:
         return False
-    _rename(spark, old, name)
+    # A swap that was cut off still has its new table; other old tables are leftovers.
+    cut = [x for x in found if x in _remains(spark, name, _NEW)] or found
+    if len(cut) > 1:
+        tables = ", ".join(_beside(name, _OLD + x) for x in cut)
+        raise ValueError(f"{name} is gone, and any of these may be its last state: {tables}.")
+    _rename(spark, _beside(name, _OLD + cut[0]), name)
     return True
 
 
-def _save(df: DataFrame, table: str, fmt: str | None) -> None:
-    writer = df.write.mode("overwrite")
-    if fmt:
-        writer = writer.format(fmt)
-    if (fmt or df.sparkSession.conf.get("spark.sql.sources.default")) == "delta":
-        # Other formats replace the schema on overwrite anyway.
-        writer = writer.option("overwriteSchema", "true")
-    writer.saveAsTable(table)
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table together with its files, if the catalog or this module placed them."""
+    if not spark.catalog.tableExists(name):
+        return
+    shape = _shape_of(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    if shape.external and _PLACED in shape.properties:
+        _delete(spark, shape.location)
 
 
-def _write_and_swap(df: DataFrame, table: str, fmt: str | None) -> None:
-    spark = df.sparkSession
-    new, old = _beside(table, _NEW + uuid.uuid4().hex[:12]), _beside(table, _OLD)
-    _save(df, new, fmt)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
+def _writer(df: DataFrame, fmt: str | None, shape: _Shape | None = None):
+    writer = df.write
+    if fmt:
+        writer = writer.format(fmt)
+    if shape and shape.partitions:
+        writer = writer.partitionBy(*shape.partitions)
+    if shape and shape.buckets:
+        writer = writer.bucketBy(shape.buckets, *shape.bucket_columns)
+        if shape.sort_columns:
+            writer = writer.sortBy(*shape.sort_columns)
+    return writer
+
+
+def _check_columns(df: DataFrame, shape: _Shape) -> None:
+    needed = {*shape.partitions, *shape.bucket_columns, *shape.sort_columns}
+    lacking = sorted(needed - set(df.columns))
+    if lacking:
+        raise ValueError(f"The table is partitioned, bucketed or sorted by {lacking}, which the frame lacks.")
+
+
+def _describe(spark: SparkSession, table: str, shape: _Shape, **more: str) -> None:
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    if properties := {**shape.properties, **more}:
+        pairs = ", ".join(f"{text(k)} = {text(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+    if shape.comment:
+        spark.sql(f"COMMENT ON TABLE {table} IS {text(shape.comment)}")
+
+
+def _write_and_swap(df: DataFrame, table: str, provider: str, shape: _Shape) -> None:
+    spark, run = df.sparkSession, uuid.uuid4().hex[:12]
+    new, old = _beside(table, _NEW + run), _beside(table, _OLD + run)
+    parent = shape.location.rstrip("/").rpartition("/")[0]
+    leaf = re.sub(r"[^\w-]", "_", _parts(table)[-1].strip("`"))
+    location = f"{parent}/{leaf}__{run}"
+    try:
+        _writer(df, provider, shape).option("path", location).saveAsTable(new)
+    except Exception:
+        _delete(spark, location)
+        raise
+    _describe(spark, new, shape, **{_PLACED: "true"})
     _rename(spark, table, old)
     try:
         _rename(spark, new, table)
     except Exception:
-        restore_table(spark, table)
+        _rename(spark, old, table)
         raise
     spark.sql(f"DROP TABLE {old}")
+    if shape.external:
+        _delete(spark, shape.location)
+
+
+def _shape_of(spark: SparkSession, table: str) -> _Shape:
+    details: dict[str, str] = {}
+    after = False
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        after = after or row.col_name.startswith("# Detailed")
+        if after:
+            details.setdefault(row.col_name, row.data_type)
+    ours = {"transient_lastDdlTime", "numFiles", "totalSize", "numRows", "rawDataSize"}
+    properties = {
+        row.key: row.value
+        for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        if row.key not in ours and not row.key.startswith("spark.sql.")
+    }
+    comment = details.get("Comment") or properties.get("comment")
+    properties.pop("comment", None)
+    columns = spark.catalog.listColumns(table)
+    return _Shape(
+        provider=details.get("Provider", spark.conf.get("spark.sql.sources.default")),
+        location=details.get("Location", ""),
+        external=details.get("Type") == "EXTERNAL",
+        partitions=tuple(c.name for c in columns if c.isPartition),
+        buckets=int(details.get("Num Buckets", 0)),
+        bucket_columns=_names(details.get("Bucket Columns")),
+        sort_columns=_names(details.get("Sort Columns")),
+        comment=comment,
+        properties=properties,
+    )
+
+
+def _names(listed: str | None) -> tuple[str, ...]:
+    return tuple(re.findall(r"`([^`]+)`", listed or ""))
+
+
+def _remains(spark: SparkSession, table: str, suffix: str) -> list[str]:
+    """The ids of the runs of which a table with this name ending is left."""
+    *database, leaf = _parts(table)
+    start = leaf.strip("`").lower() + suffix
+    where = f" IN {'.'.join(database)}" if database else ""
+    if database and not spark.catalog.databaseExists(".".join(database)):
+        return []
+    names = [row.tableName.lower() for row in spark.sql(f"SHOW TABLES{where}").collect()]
+    return sorted(n[len(start) :] for n in names if n.startswith(start))
+
+
+def _parts(table: str) -> list[str]:
+    return re.findall(r"`[^`]+`|[^.`]+", table)
 
 
 def _beside(table: str, suffix: str) -> str:
@@ -94,5 +228,10 @@ def _beside(table: str, suffix: str) -> str:
 
 def _rename(spark: SparkSession, old: str, new: str) -> None:
     # The new name is read relative to the old one's catalog.
-    parts = re.findall(r"`[^`]+`|[^.`]+", new)
-    spark.sql(f"ALTER TABLE {old} RENAME TO {'.'.join(parts[-2:])}")
+    spark.sql(f"ALTER TABLE {old} RENAME TO {'.'.join(_parts(new)[-2:])}")
+
+
+def _delete(spark: SparkSession, location: str) -> None:
+    """Delete the files at a location through the session's file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-"))
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -211,3 +211,15 @@ def test_works_on_a_stream(spark, database):
     query = stream.writeStream.format("memory").queryName("aged").trigger(availableNow=True).start()
     query.awaitTermination(60)
     assert {tuple(row) for row in spark.table("aged").collect()} == set(CASES)
+
+
+def test_age_between(spark):
+    from tests.helpers import AS_OF, CASES
+
+    rows = spark.createDataFrame([(case, dob) for case, dob, *_ in CASES], "c string, dob date")
+    for low, high in ((16, 17), (18, 18), (-1, 0), (21, 150)):
+        found = rows.where(cl.age_between("dob", low, high, AS_OF))
+        expected = {case for case, _, age, *_ in CASES if age is not None and low <= age <= high}
+        assert {r.c for r in found.collect()} == expected
+    with pytest.raises(ValueError):
+        cl.age_between("dob", 3, 2)

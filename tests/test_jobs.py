@@ -10,6 +10,7 @@ from clientele.__main__ import main
 from clientele.plans import presets
 from clientele.sinks import tables as sink
 from tests.helpers import AS_OF, CASES
+from workload.views import drop_scratch, scratch_database
 
 # Each job's destination and the columns it adds.
 JOBS = {
@@ -119,9 +120,28 @@ def test_in_place_jobs_can_run_again_and_after_each_other(spark, retail):
 
 
 def test_in_place_job_restores_a_table_cut_off_mid_swap(spark, retail):
-    spark.sql(f"ALTER TABLE {retail}.customers RENAME TO {retail}.customers{sink._OLD}")
-    assert cl.preset("vote18_in_place", retail, as_of=AS_OF).run(spark)
-    assert spark.table(f"{retail}.customers").count() == len(CASES)
+    for name in ("vote18_in_place", "drive16"):
+        spark.sql(f"ALTER TABLE {retail}.customers RENAME TO {retail}.customers{sink._OLD}5")
+        assert cl.preset(name, retail, as_of=AS_OF).run(spark)
+        assert spark.table(f"{retail}.customers").count() == len(CASES)
+
+
+def test_from_one_database_to_another(spark, retail):
+    other = scratch_database(spark)
+    born = spark.table(f"{retail}.customers").withColumnRenamed("dob", "born")
+    born.write.saveAsTable(f"{retail}.people")
+    job = cl.preset(
+        "drive16", source_database=retail, destination_database=other, sources=("people",),
+        destination="drivers", dob="born", as_of=AS_OF,
+    )
+    assert job.run(spark) and job.destination == f"{other}.drivers"
+    assert spark.table(f"{other}.drivers").where("canDrive").count() > 0
+    with pytest.raises(ValueError, match="database"):
+        cl.preset("drive16", source_database=retail)
+    with pytest.raises(ValueError, match="2 tables"):
+        cl.preset("gold_orders", retail, sources=("customers",))
+    with pytest.raises(ValueError, match="no birth column"):
+        cl.preset("full_name", retail, dob="born")
 
 
 def test_other_ages(spark, retail):
@@ -134,13 +154,13 @@ def test_other_ages(spark, retail):
         cl.preset("full_name", retail, rules=rules)
 
 
-def test_staged_job_keeps_the_old_result_if_it_fails(spark, retail):
-    job = cl.preset("drive16", retail, as_of=AS_OF, staged=True)
+def test_a_job_keeps_the_old_result_if_it_fails(spark, retail):
+    job = cl.preset("drive16", retail, as_of=AS_OF)
     job.run(spark)
     spark.table(f"{retail}.customers").drop("dob").selectExpr(
         "*", "if(id = 3, cast('no date' AS date), NULL) AS dob"
     ).createOrReplaceTempView("broken")
-    failing = cl.Pipeline("failing", ("broken",), job.destination, job.transform, staged=True)
+    failing = cl.Pipeline("failing", ("broken",), job.destination, job.transform)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         failing.run(spark)
     assert spark.table(job.destination).where("canDrive").count() > 0
@@ -239,6 +259,27 @@ def test_command_line(spark, retail, session):
     assert row.canDrive is True
 
 
+def test_command_line_with_other_tables_and_ages(spark, retail, session, capsys):
+    other = scratch_database(spark)
+    spark.sql(f"CREATE VIEW {retail}.people AS SELECT *, dob AS born FROM {retail}.customers")
+    args = ["drive16_vote18", "--source-database", retail, "--destination-database", other]
+    args += ["--source", "people", "--destination", "out", "--dob", "born", "--as-of", AS_OF.isoformat()]
+    assert main([*args, "--age", "canDrive=20", "--age", "canVote=25", "--unstaged"]) == 0
+    row = spark.table(f"{other}.out").where("first_name = '20'").first()
+    assert (row.canDrive, row.canVote) == (True, False)
+    for wrong in (["drive16"], ["drive16", "--database", "x", "--age", "canDrive"]):
+        with pytest.raises(SystemExit):
+            main(wrong)
+
+
+def test_scratch_databases_can_be_dropped(spark):
+    database = scratch_database(spark)
+    spark.range(3).write.saveAsTable(f"{database}.t")
+    cl.overwrite_table(cl.read_table(spark, f"{database}.t").where("id > 0"), f"{database}.t")
+    drop_scratch(spark)
+    assert not [d.name for d in spark.catalog.listDatabases() if d.name.startswith("w_")]
+
+
 def test_command_line_failures_stop_the_session(no_births, session):
     assert main(["drive16", "--database", no_births, "--on-error", "log"]) == 1
     assert session.stopped

@@ -125,6 +125,21 @@ def test_frames_equal_ignores_row_and_column_order(spark):
         cl.frame_diff(*[left.withColumnRenamed("v", "Side")] * 2)
 
 
+def test_frames_of_unlike_types_are_unequal(spark):
+    def one(value, kind):
+        return spark.createDataFrame([(value,)], f"k {kind}")
+
+    assert not cl.frames_equal(one(1, "int"), one("1", "string"))
+    assert not cl.frames_equal(one(1, "int"), one("x", "string"))
+    assert not cl.frames_equal(one(True, "boolean"), one(1, "int"))
+    assert cl.frames_equal(one(1, "int"), one(1, "bigint"))
+    assert not cl.frames_equal(one(1, "int"), one(2, "bigint"))
+    assert cl.frames_equal(one([1], "array<int>"), one([1], "array<bigint>"))
+    assert not cl.frames_equal(one([1], "array<int>"), one(["1"], "array<string>"))
+    with pytest.raises(ValueError, match="types differ"):
+        cl.frame_diff(one(1, "int"), one("1", "string"))
+
+
 # --- join --------------------------------------------------------------------
 
 
@@ -150,20 +165,23 @@ JOINED = [
 ]
 
 
-@pytest.mark.parametrize("hot_keys", [(), (1,), (1, 4), (77,)])
-def test_join_keeps_all_columns_and_can_be_saved(spark, sides, database, hot_keys):
-    joined = cl.join_on(*sides, prefix="order_", hot_keys=hot_keys, slices=3)
+@pytest.mark.parametrize("left", [None, {1: 2}, {4: 9, 77: 3}])
+@pytest.mark.parametrize("right", [None, {1: 2}, {1: 7, 4: 3}, {77: 5}])
+def test_join_keeps_all_columns_and_can_be_saved(spark, sides, database, left, right):
+    joined = cl.join_on(
+        *sides, prefix="order_", hot_keys=right, hot_left_keys=left, slice_rows=1
+    )
     assert joined.columns == ["id", "name", "note", "order_ID", "customer_id", "order_note"]
     assert sorted(joined.collect()) == JOINED
     cl.overwrite_table(joined, f"{database}.gold")
     assert sorted(spark.table(f"{database}.gold").collect()) == JOINED
 
 
-@pytest.mark.parametrize("hot_keys", [(), (1,)])
+@pytest.mark.parametrize("hot_keys", [None, {1: 5}])
 @pytest.mark.parametrize("key", ["id", "ID"])
 def test_join_on_equally_named_keys(sides, key, hot_keys):
     customers, _ = sides
-    joined = cl.join_on(customers, customers, "id", key, prefix="other_", hot_keys=hot_keys)
+    joined = cl.join_on(customers, customers, "id", key, prefix="other_", hot_keys=hot_keys, slice_rows=2)
     assert joined.columns == ["id", "name", "note", "other_id", "other_name", "other_note"]
     assert joined.count() == 6
 
@@ -181,16 +199,27 @@ def test_join_refuses_a_prefix_that_collides(spark, sides):
         cl.join_on(customers.withColumn("order_note", F.lit(1)), orders, prefix="order_")
     with pytest.raises(ValueError, match="already in use"):
         cl.join_on(customers, orders, prefix="")
-    with pytest.raises(ValueError, match="slices"):
-        cl.join_on(customers, orders, prefix="order_", hot_keys=[1], slices=0)
+    with pytest.raises(ValueError, match="slice_rows"):
+        cl.join_on(customers, orders, prefix="order_", hot_keys={1: 5}, slice_rows=0)
+
+
+def test_helper_columns_take_no_name_that_is_in_use(spark):
+    left = spark.createDataFrame([(1, "a", "b")], "id int, __left string, __right_ string")
+    right = spark.createDataFrame([(1, "c"), (1, "d")], "customer_id int, __right string")
+    joined = cl.join_on(left, right, hot_keys={1: 2}, slice_rows=1)
+    assert sorted(joined.collect()) == [(1, "a", "b", 1, "c"), (1, "a", "b", 1, "d")]
+    tied = left.withColumnsRenamed({"__left": "__tie", "__right_": "__weight"})
+    assert cl.sort_rows(tied).columns == tied.columns
+    assert cl.frame_diff(tied, tied.limit(0)).collect()[0]["__weight"] == "b"
 
 
 def test_heavy_keys(spark):
     third = F.col("id") % 3
     key = F.when(third == 0, 7).when(third == 1, None).otherwise(F.col("id"))
     rows = spark.range(0, 900).select(key.alias("k"))
-    assert cl.heavy_keys(rows, "k", share=0.1) == [7]
-    assert cl.heavy_keys(rows, "k", share=0.5) == []
+    assert cl.heavy_keys(rows, "k", share=0.1) == {7: 300}
+    assert cl.heavy_keys(rows, "k", share=0.5) == {}
+    assert cl.heavy_keys(rows.limit(0), "k") == {}
     with pytest.raises(ValueError):
         cl.heavy_keys(rows, "k", share=0)
 

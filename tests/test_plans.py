@@ -110,11 +110,39 @@ def test_hot_keys_are_dealt_out_without_adaptive_execution(spark, skewed):
     ):
         assert max(partition_sizes(cl.join_on(customers, orders))) > 20_000
         hot = cl.heavy_keys(orders, "customer_id", share=0.1)
-        assert hot == [7]
-        dealt = cl.join_on(customers, orders, hot_keys=hot, slices=24)
-        assert "SortMergeJoin" in plan_of(dealt)
-        assert max(partition_sizes(dealt)) < 13_000
-        assert cl.frames_equal(dealt, cl.join_on(customers, orders))
+        assert hot == {7: 20_020}
+        by_key = orders.repartition(24, "customer_id")
+        for placed in (orders, by_key):
+            dealt = cl.join_on(customers, placed, hot_keys=hot, slice_rows=1000)
+            assert "SortMergeJoin" in plan_of(dealt)
+            assert max(partition_sizes(dealt)) < 15_000
+            assert cl.frames_equal(dealt, cl.join_on(customers, orders))
+
+
+def test_hot_keys_on_the_left_are_dealt_out(spark, skewed):
+    customers, orders = skewed
+    few = customers.select(F.col("id").alias("customer_id"), "name")
+    with settings(
+        spark, spark_sql_adaptive_enabled="false", spark_sql_autoBroadcastJoinThreshold="-1"
+    ):
+        hot = cl.heavy_keys(orders, "customer_id", share=0.1)
+        plain = cl.join_on(orders, few, "customer_id", "customer_id")
+        dealt = cl.join_on(
+            orders, few, "customer_id", "customer_id", hot_left_keys=hot, slice_rows=1000
+        )
+        assert max(partition_sizes(plain)) > 20_000 and max(partition_sizes(dealt)) < 15_000
+        assert cl.frames_equal(dealt, plain)
+
+
+def test_heavy_keys_scans_once(spark, skewed, database):
+    skewed[1].write.saveAsTable(f"{database}.orders")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("heavy", "heavy")
+    cl.heavy_keys(spark.table(f"{database}.orders"), "customer_id")
+    jobs = tracker.getJobIdsForGroup("heavy")
+    scans = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+    assert len(scans) <= 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_join_is_not_forced_to_broadcast(spark, skewed):
@@ -135,10 +163,30 @@ def test_join_of_bucketed_tables_needs_no_shuffle(spark, skewed, database):
         assert joined.count() == 60_000
 
 
-def test_compact_layout_moves_one_block_per_map_task(births):
+def test_compact_layout_is_left_to_adaptive_execution(spark, births):
     plan = plan_of(cl.arrange(births, "compact"))
     assert plan.count("Exchange") == 1 and "REBALANCE_PARTITIONS_BY_NONE" in plan
-    assert "RoundRobinPartitioning(1)" in plan
+    with settings(spark, spark_sql_adaptive_enabled="false"):
+        with pytest.raises(ValueError, match="adaptive"):
+            cl.arrange(births, "compact")
+
+
+def test_age_range_reaches_the_scan_with_both_bounds(births):
+    plan = plan_of(births.where(cl.age_between("dob", 16, 17, AS_OF)).select("id"))
+    assert "LessThanOrEqual(dob,2010-06-15)" in plan and "GreaterThan(dob,2008-06-15)" in plan
+
+
+def test_bucketed_join_needs_no_shuffle_after_an_in_place_job(spark, skewed, database):
+    customers, orders = skewed
+    customers.withColumn("dob", F.to_date(F.lit("2000-01-01"))).write.bucketBy(4, "id").sortBy(
+        "id"
+    ).saveAsTable(f"{database}.customers")
+    orders.write.bucketBy(4, "customer_id").sortBy("customer_id").saveAsTable(f"{database}.orders")
+    for _ in range(2):
+        cl.preset("drive16_in_place", database, as_of=AS_OF).run(spark)
+    with settings(spark, spark_sql_autoBroadcastJoinThreshold="-1"):
+        joined = cl.join_on(spark.table(f"{database}.customers"), spark.table(f"{database}.orders"))
+        assert "Exchange" not in plan_of(joined) and joined.count() == 60_000
 
 
 def test_projection_jobs_write_without_a_shuffle(births):

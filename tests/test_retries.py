@@ -55,7 +55,7 @@ expected = Counter(map(tuple, joined.collect()))
 tried = shaky(orders).mapInPandas(attempts, "attempt int").collect()
 assert Counter(row.attempt for row in tried) == {0: 8, 1: 4}
 
-dealt = cl.join_on(shaky(customers), shaky(orders), hot_keys=[7], slices=5)
+dealt = cl.join_on(shaky(customers), shaky(orders), hot_keys={7: 2000}, hot_left_keys={7: 900}, slice_rows=400)
 assert Counter(map(tuple, dealt.collect())) == expected
 
 keys = [row.customer_id for row in cl.sort_rows(shaky(orders), "customer_id").collect()]
@@ -64,6 +64,7 @@ assert len(keys) == 6000 and keys == sorted(keys)
 assert cl.frames_equal(shaky(orders), orders)
 
 for layout in (None, 5, "compact"):
+    spark.conf.set("spark.sql.adaptive.enabled", str(layout == "compact").lower())
     cl.overwrite_table(orders, "orders_kept")
     cl.overwrite_table(shaky(spark.table("orders_kept")), "orders_kept", layout=layout)
     assert cl.frames_equal(spark.table("orders_kept"), orders)

@@ -61,12 +61,17 @@ def test_two_hundred_files(spark, database, frame):
 
 def test_compact_splits_what_is_too_large_for_one_task(spark, database):
     big = spark.range(0, 400_000, 1, 32).withColumn("text", F.sha2(F.col("id").cast("string"), 256))
-    with settings(spark, spark_sql_adaptive_advisoryPartitionSizeInBytes="4m"):
-        cl.overwrite_table(big, f"{database}.t", layout="compact")
-    sizes = files_of(spark, f"{database}.t")
-    assert 3 <= len(sizes) < 32
-    assert max(sizes) < sum(sizes) / 2
-    assert cl.frames_equal(spark.table(f"{database}.t"), big)
+    for skew_rule in ("true", "false"):
+        with settings(
+            spark,
+            spark_sql_adaptive_advisoryPartitionSizeInBytes="4m",
+            spark_sql_adaptive_optimizeSkewsInRebalancePartitions_enabled=skew_rule,
+        ):
+            cl.overwrite_table(big, f"{database}.t", layout="compact")
+        sizes = files_of(spark, f"{database}.t")
+        assert 3 <= len(sizes) < 32
+        assert max(sizes) < sum(sizes) / 2
+        assert cl.frames_equal(spark.table(f"{database}.t"), big)
 
 
 def test_overwrite_replaces_rows_and_schema(spark, database, frame):
@@ -124,18 +129,98 @@ def test_in_place_through_a_view(spark, database, frame):
     assert spark.table(f"{database}.t").count() == 10
 
 
-def test_staged_overwrite_keeps_the_old_table_if_the_job_fails(spark, database, frame):
+def test_a_failed_job_leaves_the_old_rows(spark, database, frame):
     table = f"{database}.t"
-    cl.overwrite_table(frame, table, staged=True)  # nothing to protect yet
+    cl.overwrite_table(frame, table)
     failing = frame.select(F.raise_error(F.lit("broken")).cast("int").alias("id"))
     with pytest.raises(Exception, match="broken"):
-        cl.overwrite_table(failing, table, staged=True)
+        cl.overwrite_table(failing, table)
     assert cl.frames_equal(spark.table(table), frame)
-    cl.overwrite_table(frame.limit(7), table, staged=True)
+    cl.overwrite_table(frame.limit(7), table)
+    assert spark.table(table).count() == 7
+    assert tables_in(spark, database) == ["t"]
+
+
+def test_unstaged_overwrite(spark, database, frame):
+    table = f"{database}.t"
+    cl.overwrite_table(frame, table, staged=False)
+    cl.overwrite_table(frame.limit(7), table, staged=False)
     assert spark.table(table).count() == 7
+
+
+def details_of(spark, table):
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    found = {row.col_name: row.data_type for row in rows}
+    found["properties"] = {
+        r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+    }
+    return found
+
+
+@pytest.mark.parametrize("staged", [True, False])
+def test_a_table_keeps_its_shape(spark, database, frame, staged):
+    table, source = f"{database}.t", frame.withColumn("k", F.col("id") % 3)
+    source.write.format("orc").partitionBy("k").bucketBy(4, "id").sortBy("text").saveAsTable(table)
+    spark.sql(f"COMMENT ON TABLE {table} IS 'whose it''s'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('owner team' = 'a=b, c')")
+    for n in (20, 10):
+        rows = (cl.read_table(spark, table) if staged else source).where(f"id < {n}")
+        cl.overwrite_table(rows, table, staged=staged)
+        found = details_of(spark, table)
+        assert (found["Provider"], found["Num Buckets"]) == ("orc", "4")
+        assert (found["Bucket Columns"], found["Sort Columns"]) == ("[`id`]", "[`text`]")
+        assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["k"]
+        assert found["Comment"] == "whose it's"
+        assert found["properties"]["owner team"] == "a=b, c"
+        assert cl.frames_equal(spark.table(table), source.where(f"id < {n}"))
+    with pytest.raises(ValueError, match="'k'"):
+        cl.overwrite_table(source.drop("k"), table, staged=staged)
+    assert spark.table(table).count() == 10
     assert tables_in(spark, database) == ["t"]
 
 
+def path_of(spark, table):
+    return urlparse(details_of(spark, table)["Location"]).path
+
+
+def test_an_external_table_stays_beside_its_place(spark, database, frame, tmp_path):
+    table = f"{database}.t"
+    frame.write.option("path", f"{tmp_path}/mine").saveAsTable(table)
+    cl.overwrite_table(cl.read_table(spark, table).where("id < 10"), table)
+    assert details_of(spark, table)["Type"] == "EXTERNAL"
+    assert os.path.dirname(path_of(spark, table)) == str(tmp_path)
+    assert os.listdir(tmp_path) == [os.path.basename(path_of(spark, table))]
+    cl.drop_table(spark, table)
+    assert os.listdir(tmp_path) == [] and tables_in(spark, database) == []
+
+
+def test_files_do_not_move_in_the_swap(spark, database, frame, monkeypatch):
+    table, rename, moves = f"{database}.t", sink._rename, []
+    cl.overwrite_table(frame, table)
+
+    def watch(spark, old, new):
+        before = path_of(spark, old)
+        rename(spark, old, new)
+        moves.append(before != path_of(spark, new))
+
+    cl.overwrite_table(cl.read_table(spark, table).where("id > 1"), table)
+    monkeypatch.setattr(sink, "_rename", watch)
+    for _ in range(2):
+        cl.overwrite_table(cl.read_table(spark, table).where("id > 5"), table)
+    assert moves == [False] * 4 and spark.table(table).count() == 994
+    folder = os.path.dirname(path_of(spark, table))
+    assert [x for x in os.listdir(folder) if x.startswith("t__")] == [os.path.basename(path_of(spark, table))]
+
+
+def test_drop_table_of_any_kind(spark, database, frame, tmp_path):
+    cl.drop_table(spark, f"{database}.never_there")
+    frame.write.saveAsTable(f"{database}.managed")
+    frame.write.option("path", f"{tmp_path}/kept").saveAsTable(f"{database}.theirs")
+    cl.drop_table(spark, f"{database}.managed")
+    cl.drop_table(spark, f"{database}.theirs")
+    assert tables_in(spark, database) == [] and os.path.exists(f"{tmp_path}/kept")
+
+
 def test_staged_overwrite_of_a_table_read_by_path(spark, database, frame):
     cl.overwrite_table(frame, f"{database}.t")
     details = spark.sql(f"DESCRIBE EXTENDED {database}.t").collect()
@@ -178,19 +263,26 @@ def test_remains_of_a_killed_job_do_not_disturb(spark, database, frame):
     root = urlparse(spark.catalog.getDatabase(database).locationUri).path
     os.makedirs(f"{root}/t{sink._NEW}0/_temporary")
     frame.write.saveAsTable(f"{table}{sink._NEW}1")
-    frame.limit(1).write.saveAsTable(f"{table}{sink._OLD}")
+    frame.limit(1).write.saveAsTable(f"{table}{sink._OLD}2")
     cl.overwrite_table(cl.read_table(spark, table).where("id > 5"), table)
     assert spark.table(table).count() == 994
-    assert tables_in(spark, database) == ["t", f"t{sink._NEW}1"]
+    # They are not this run's to drop.
+    assert tables_in(spark, database) == ["t", f"t{sink._NEW}1", f"t{sink._OLD}2"]
 
 
 def test_restore_after_a_crash_between_the_renames(spark, database, frame):
     table = f"{database}.t"
     cl.overwrite_table(frame, table)
     assert not cl.restore_table(spark, table)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}{sink._OLD}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}{sink._OLD}7")
+    frame.limit(3).write.saveAsTable(f"{table}{sink._NEW}7")
+    frame.limit(1).write.saveAsTable(f"{table}{sink._OLD}8")  # of some earlier run
     assert cl.restore_table(spark, table)
     assert cl.frames_equal(spark.table(table), frame)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}{sink._OLD}9")
+    spark.sql(f"DROP TABLE {table}{sink._NEW}7")
+    with pytest.raises(ValueError, match="any of these"):
+        cl.restore_table(spark, table)
     assert not cl.restore_table(spark, f"{database}.never_there")
 
 

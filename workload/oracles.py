@@ -4,7 +4,7 @@ flags from the age, differences from EXCEPT ALL."""
 
 from __future__ import annotations
 
-from workload.views import CUSTOMER_COLUMNS, ORDER_COLUMNS
+from workload.views import CUSTOMER_COLUMNS, HOT_ORDERS, HOT_VISITS, ORDER_COLUMNS
 
 AS_OF = "date '2026-02-28'"
 LEAP_DAY = "date '2016-02-29'"
@@ -59,11 +59,16 @@ DIFF = f"""
     SELECT *, 'right' AS side, count(*) AS copies
     FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY ALL"""
 
+DIFF_ALL = f"""
+    SELECT *, 'left' AS side, CAST(1 AS BIGINT) AS copies FROM (FROM {DRIVE_16} EXCEPT ALL FROM {DRIVE_18})
+    UNION ALL
+    SELECT *, 'right' AS side, CAST(1 AS BIGINT) AS copies FROM (FROM {DRIVE_18} EXCEPT ALL FROM {DRIVE_16})"""
+
 COUNTS = f"""SELECT
         count(*) FILTER (WHERE "canDrive") AS n_drive,
         count(*) FILTER (WHERE "canVote") AS n_vote,
         count(*) FILTER (WHERE "canDrink") AS n_drink,
-        count(*) FILTER (WHERE age = 30) AS n_thirty,
+        count(*) FILTER (WHERE age BETWEEN 18 AND 20) AS n_young_voters,
         count(*) FILTER (WHERE age IN (16, 17)) AS n_minor_drivers,
         count(*) FILTER (WHERE dob IS NULL) AS n_unknown
     FROM {ALL_FLAGS}"""
@@ -75,6 +80,8 @@ ORACLES: dict[str, str] = {
     "overwrite_roundtrip": _all(ALL_FLAGS),
     "overwrite_single_file": STRICT,
     "overwrite_in_place": _all(VOTE_18),
+    "overwrite_in_place_bucketed": f"""SELECT c.*, o.id AS order_id, o.customer_id, o.status, o.total,
+        o.ordered_at FROM {DRIVE_16} c JOIN {ORDERS} o ON c.id = o.customer_id""",
     "overwrite_schema_change": f"SELECT * EXCLUDE (dob) FROM ({STRICT})",
     "age_years": _all(AGED),
     "age_years_lineitem": _all(_flagged(LINES, LEAP_DAY, canDrive=16, canVote=18, canDrink=21)),
@@ -87,19 +94,23 @@ ORACLES: dict[str, str] = {
     "full_name_null_safe": NULL_SAFE,
     "full_name_repartitioned": STRICT,
     "select_columns": f"SELECT id, first_name, segment FROM {CUSTOMERS}",
-    "filter_sql_text": _all(ALL_FLAGS, "age = 30"),
+    "filter_sql_text": _all(ALL_FLAGS, "age BETWEEN 18 AND 20"),
     "filter_string_eq": _all(ALL_FLAGS, "segment = 'BUILDING'"),
     "filter_column_eq": _all(ALL_FLAGS, "nation = 7"),
     "filter_reached_age": OLD_LINES,
+    "filter_age_between": f"{OLD_LINES} AND age < 21",
     "customer_orders_inner": JOINED,
-    "customer_orders_hot_keys": JOINED,
+    "customer_orders_hot_keys": f"""SELECT c.*, o.id AS order_id, o.customer_id, o.status, o.total,
+        o.ordered_at FROM (SELECT {HOT_VISITS} FROM customer) c
+        JOIN (SELECT {HOT_ORDERS} FROM orders) o ON c.id = o.customer_id""",
     "count_rows": f"SELECT count(*) AS n_rows FROM {CUSTOMERS}",
     "count_by_flags": COUNTS,
     "first_row": f"SELECT * FROM {ALL_FLAGS} ORDER BY dob DESC NULLS LAST, id LIMIT 1",
     "sorted_rows": f"SELECT * FROM {ALL_FLAGS} ORDER BY age NULLS FIRST, id",
     "frame_diff": DIFF,
+    "frame_diff_all_columns": DIFF_ALL,
     "job_drive18_drink21": _all(DRIVE_18_DRINK_21),
-    "job_drive16_tr": _all(DRIVE_16),
+    "job_drive16_tr": f"SELECT * RENAME (dob AS born) FROM {DRIVE_16}",
     "job_vote18_in_place": _all(VOTE_18),
     "job_drive16": _all(DRIVE_16),
     "job_drive16_vote18": _all(DRIVE_16_VOTE_18),

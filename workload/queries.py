@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,15 @@ from clientele.plans.presets import (
     DRIVE_18_TEXT,
     VOTE_18,
 )
-from workload.views import catalog_tables, catalog_views, customers, orders, scratch_database
+from workload.views import (
+    catalog_tables,
+    catalog_views,
+    customers,
+    hot_orders,
+    hot_visits,
+    orders,
+    scratch_database,
+)
 
 AS_OF = dt.date(2026, 2, 28)
 
@@ -31,9 +40,8 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_flags(customers(spark, sf_dir), DRIVE_16, VOTE_18, DRINK_21)
 
 
-def _width(spark: SparkSession) -> int:
-    """The partition count the session is tuned for, not a fixed one."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Parameters of the queries that set a number of tasks or files.
+SCAN_TASKS, FILES = 64, 8
 
 
 # --- sources -----------------------------------------------------------------
@@ -50,16 +58,16 @@ def scan_schema_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scan_coalesced(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = catalog_views(spark, sf_dir, "customers")
-    return cl.read_table(spark, f"{database}.customers", max_partitions=_width(spark))
+    return cl.read_table(spark, f"{database}.customers", max_partitions=SCAN_TASKS)
 
 
 # --- sinks -------------------------------------------------------------------
 
 
 def overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = f"{scratch_database(spark)}.customers_out"
-    cl.overwrite_table(_flagged(spark, sf_dir), table, layout=_width(spark))
-    return cl.read_table(spark, table)
+    database = scratch_database(spark)
+    cl.overwrite_table(_flagged(spark, sf_dir), "customers_out", schema=database, layout=FILES)
+    return cl.read_table(spark, "customers_out", schema=database)
 
 
 def overwrite_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +84,13 @@ def overwrite_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.read_table(spark, table)
 
 
+def overwrite_in_place_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table keeps its buckets, so the join with it goes on needing no shuffle of it.
+    table = f"{catalog_tables(spark, sf_dir, bucketed=True)}.customers"
+    cl.overwrite_table(add_flags(cl.read_table(spark, table), DRIVE_16), table)
+    return cl.join_on(cl.read_table(spark, table), orders(spark, sf_dir), prefix="order_")
+
+
 def overwrite_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.customers_out"
     cl.overwrite_table(cl.add_age(customers(spark, sf_dir), as_of=AS_OF), table)
@@ -129,7 +144,7 @@ def full_name_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_name_repartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.arrange(cl.add_full_name(customers(spark, sf_dir)), _width(spark))
+    return cl.arrange(cl.add_full_name(customers(spark, sf_dir)), FILES)
 
 
 def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +155,7 @@ def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flagged(spark, sf_dir).filter("age = 30 AND canDrive = true AND canDrink = true")
+    return _flagged(spark, sf_dir).filter("age < 21 AND canVote AND NOT canDrink")
 
 
 def filter_string_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +174,14 @@ def filter_reached_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.select("l_orderkey", "l_linenumber", shipped.alias("dob"))
 
 
+def filter_age_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Both bounds reach the scan.
+    shipped = F.col("l_shipdate").cast("date")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    young = lines.filter(cl.age_between(shipped, 18, 20, dt.date(2016, 2, 29)))
+    return young.select("l_orderkey", "l_linenumber", shipped.alias("dob"))
+
+
 # --- join --------------------------------------------------------------------
 
 
@@ -167,9 +190,15 @@ def customer_orders_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_orders_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = orders(spark, sf_dir)
-    hot = cl.heavy_keys(placed, "customer_id", share=0.001)
-    return cl.join_on(customers(spark, sf_dir), placed, prefix="order_", hot_keys=hot)
+    visits, placed = hot_visits(spark, sf_dir), hot_orders(spark, sf_dir)
+    ours = cl.heavy_keys(visits, "id", share=0.005)
+    theirs = cl.heavy_keys(placed, "customer_id", share=0.005)
+    # Slices of the hottest key that fill the tasks of the join once.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(theirs.values(), default=0) // tasks + 1
+    return cl.join_on(
+        visits, placed, prefix="order_", hot_keys=theirs, hot_left_keys=ours, slice_rows=rows
+    )
 
 
 # --- counts, order, comparison -----------------------------------------------
@@ -185,7 +214,7 @@ def count_by_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         n_drive="canDrive = true",
         n_vote=F.col("canVote"),
         n_drink=F.col("canDrink"),
-        n_thirty="age = 30 AND canDrive = true AND canDrink = true",
+        n_young_voters="canVote AND NOT canDrink",
         n_minor_drivers="canDrive AND NOT canVote",
         n_unknown=F.col("age").isNull(),
     )
@@ -207,16 +236,25 @@ def frame_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.frame_diff(flags(DRIVE_16), flags(DRIVE_18))
 
 
+def frame_diff_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drives = [add_flags(customers(spark, sf_dir), rule) for rule in (DRIVE_16, DRIVE_18)]
+    return cl.frame_diff(*drives)
+
+
 # --- standard jobs, read back ------------------------------------------------
 
 
-def _job(name: str) -> Query:
+def _job(name: str, again: str | None = None, bucketed: bool = False, **options: Any) -> Query:
+    """A job and its result. ``again``: a job that has written the destination before."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if name.endswith("in_place"):
-            database = catalog_tables(spark, sf_dir)
+            database = catalog_tables(spark, sf_dir, bucketed)
         else:
             database = catalog_views(spark, sf_dir, *cl.PRESETS[name].sources)
-        job = cl.preset(name, database, as_of=AS_OF)
+        if again:
+            cl.preset(again, database, as_of=AS_OF).run(spark)
+        job = cl.preset(name, database, as_of=AS_OF, **options)
         job.run(spark)
         return cl.read_table(spark, job.destination)
 
@@ -224,6 +262,38 @@ def _job(name: str) -> Query:
     return run
 
 
+def job_drive16_tr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # From one database to another, with another name for the birth column and the table.
+    job = cl.preset(
+        "drive16_tr",
+        as_of=AS_OF,
+        source_database=catalog_views(spark, sf_dir, "members"),
+        destination_database=scratch_database(spark),
+        sources=("members",),
+        dob="born",
+    )
+    job.run(spark)
+    return cl.read_table(spark, job.destination)
+
+
+#: Each job runs once, with its own layout where that is what sets it apart.
+JOBS: dict[str, Query] = {
+    "drive18_drink21": _job("drive18_drink21"),
+    "drive16_tr": job_drive16_tr,
+    "vote18_in_place": _job("vote18_in_place", fixed_layout=True),
+    "drive16": _job("drive16"),
+    "drive16_vote18": _job("drive16_vote18"),
+    "drive16_with_age": _job("drive16_with_age", fixed_layout=True),
+    "drive16_in_place": _job("drive16_in_place", bucketed=True),
+    "drive_status": _job("drive_status"),
+    "drive_status_again": _job("drive_status_again", again="drive_status", staged=False),
+    "full_name_two_files": _job("full_name_two_files", fixed_layout=True),
+    "full_name": _job("full_name", fixed_layout=True),
+    "full_name_null_safe_in_place": _job("full_name_null_safe_in_place"),
+    "gold_orders": _job("gold_orders"),
+    "full_name_again": _job("full_name_again", again="full_name_two_files"),
+}
+
 QUERIES: dict[str, Query] = {
     "scan_table": scan_table,
     "scan_schema_table": scan_schema_table,
@@ -231,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "overwrite_roundtrip": overwrite_roundtrip,
     "overwrite_single_file": overwrite_single_file,
     "overwrite_in_place": overwrite_in_place,
+    "overwrite_in_place_bucketed": overwrite_in_place_bucketed,
     "overwrite_schema_change": overwrite_schema_change,
     "age_years": age_years,
     "age_years_lineitem": age_years_lineitem,
@@ -247,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "filter_string_eq": filter_string_eq,
     "filter_column_eq": filter_column_eq,
     "filter_reached_age": filter_reached_age,
+    "filter_age_between": filter_age_between,
     "customer_orders_inner": customer_orders_inner,
     "customer_orders_hot_keys": customer_orders_hot_keys,
     "count_rows": count_rows,
@@ -254,5 +326,6 @@ QUERIES: dict[str, Query] = {
     "first_row": first_row,
     "sorted_rows": sorted_rows,
     "frame_diff": frame_diff,
-    **{f"job_{name}": _job(name) for name in cl.PRESETS},
+    "frame_diff_all_columns": frame_diff_all_columns,
+    **{f"job_{name}": run for name, run in JOBS.items()},
 }

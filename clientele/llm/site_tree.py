@@ -87,11 +87,11 @@ class _Node:
         self.children: list[str] = []
 
 
-def parse(page: str) -> tuple[list[tuple[str, int, list[int]]], dict[int, int]]:
+def parse(page: str, host: str = "") -> tuple[list[tuple[str, int, list[int]]], dict[int, int]]:
     """The text blocks outside of noise, as (text, scope, paths of the branches that hold
     it), and for each path a hash of its presentation. Scope 2 is inside an article, 1
-    inside the main part, 0 elsewhere."""
-    root = _Node("", 0, False, 0)
+    inside the main part, 0 elsewhere. A path is a hash of the host, tags and classes."""
+    root = _Node("", _signature(0, host), False, 0)
     stack, blocks, text = [root], [], []
     shown: dict[int, list[str]] = {}
 
@@ -188,7 +188,9 @@ def parse(page: str) -> tuple[list[tuple[str, int, list[int]]], dict[int, int]]:
     flush()
     close(0)
     nodes = {
-        path: xxhash.xxh3_64_intdigest("|".join(sorted(set(styles)))) >> 1 for path, styles in shown.items() if path
+        path: xxhash.xxh3_64_intdigest("|".join(sorted(set(styles)))) >> 1
+        for path, styles in shown.items()
+        if path != root.path
     }
     return blocks, nodes
 
@@ -219,7 +221,8 @@ def _parse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns)):
             found = _HOST.match(url or "")
-            blocks, nodes = parse(page or "")
+            host = found[1].lower() if found else None
+            blocks, nodes = parse(page or "", host or "")
             best = max((scope for _, scope, _ in blocks), default=0)
             kept = [
                 {"text": text, "paths": paths, "feature": xxhash.xxh3_64_intdigest(text) >> 1}
@@ -228,7 +231,7 @@ def _parse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ]
             key = xxhash.xxh3_64_intdigest("\n".join(b["text"] for b in kept)) >> 1
             styles = [{"path": p, "style": s} for p, s in nodes.items()]
-            rows.append((page_id, url, found[1].lower() if found else None, key, kept, styles))
+            rows.append((page_id, url, host, key, kept, styles))
             if len(rows) == 500:
                 yield _batch(rows)
                 rows = []
@@ -244,32 +247,41 @@ def low_branches(parsed: DataFrame, limits: Importance = Importance()) -> DataFr
     """``of_host`` and the array ``low`` of its branches of low importance. Pages with the same
     article count once."""
     nodes = parsed.select("host", "page_key", F.inline("nodes"))
-    styles = nodes.groupBy("host", "path", "style").agg(F.countDistinct("page_key").alias("n"))
+    styles = nodes.groupBy("path", "style").agg(
+        F.countDistinct("page_key").alias("n"), F.min("host").alias("host")
+    )
     presented = (
-        styles.groupBy("host", "path")
-        .agg(F.sum("n").alias("m"), F.count("*").alias("l"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-        .where(F.col("m") >= limits.pages)
-        .select(
-            F.col("host").alias("p_host"),
-            F.col("path").alias("p_path"),
-            "m",
-            "l",
-            (1 - F.col("nlogn") / (F.col("m") * F.log("m"))).alias("presentation"),
+        styles.groupBy("path")
+        .agg(
+            F.min("host").alias("of_host"),
+            F.sum("n").alias("m"),
+            F.count("*").alias("l"),
+            F.sum(F.col("n") * F.log("n")).alias("nlogn"),
         )
+        .where(F.col("m") >= limits.pages)
+        .withColumn("presentation", 1 - F.col("nlogn") / (F.col("m") * F.log("m")))
+    )
+    # Contents are counted where they stand and then summed up along the branches above.
+    said = parsed.select("page_key", F.inline("blocks")).withColumn("leaf", F.element_at("paths", -1))
+    above = said.groupBy("leaf").agg(F.min("paths").alias("paths"))
+    contents = (
+        said.groupBy("leaf", "feature")
+        .agg(F.log(F.countDistinct("page_key")).alias("log_k"))
+        .groupBy(F.col("leaf").alias("at"))
+        .agg(F.sum("log_k").alias("sum_log_k"), F.count("*").alias("n"))
     )
-    said = parsed.select("host", "page_key", F.inline("blocks")).select(
-        "host", "page_key", "feature", F.explode("paths").alias("path")
+    content = (
+        contents.join(above, F.col("at") == F.col("leaf"))
+        .select(F.explode("paths").alias("branch"), "sum_log_k", "n")
+        .groupBy("branch")
+        .agg((F.sum("sum_log_k") / F.sum("n")).alias("log_k"))
     )
-    contents = said.groupBy("host", "path", "feature").agg(F.countDistinct("page_key").alias("k"))
-    content = contents.groupBy("host", "path").agg(F.avg(F.log("k")).alias("log_k"))
     fade = F.pow(F.lit(limits.fade), F.col("l"))
     importance = (1 - fade) * F.col("presentation") + fade * (
         1 - F.least(F.col("log_k") / F.log("m"), F.lit(1.0))
     )
-    low = content.join(
-        presented, F.col("host").eqNullSafe(F.col("p_host")) & (F.col("path") == F.col("p_path"))
-    ).where(importance < limits.least)
-    return low.groupBy(F.col("host").alias("of_host")).agg(F.collect_list("path").alias("low"))
+    low = content.join(presented, F.col("branch") == F.col("path")).where(importance < limits.least)
+    return low.groupBy("of_host").agg(F.collect_list("path").alias("low"))
 
 
 def extract(

@@ -302,9 +302,13 @@ def find_personal_data(
     chosen = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    sample = chosen.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(training.documents)
+    # The hashes are chosen first, so that tasks send no texts that are not wanted.
+    own = F.xxhash64("doc_id", "text")
+    last = chosen.select(own.alias("h")).orderBy("h").limit(training.documents).agg(F.max("h")).first()[0]
+    sample = chosen.where(own <= F.lit(last)).limit(training.documents) if last is not None else chosen
     # The first characters of a sampled text are enough to train on.
-    texts = [r["text"] for r in sample.select(F.substring("text", 1, 20_000).alias("text")).collect()]
+    rows = sample.select(own.alias("h"), F.substring("text", 1, 20_000).alias("text")).collect()
+    texts = [r["text"] for r in sorted(rows, key=lambda r: (r["h"], r["text"]))]
     shared = spark.sparkContext.broadcast(train_tagger(texts, training).parameters)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

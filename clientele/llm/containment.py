@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.scratch import stored
+from clientele.llm.arrow import slices
+from clientele.llm.scratch import stored, text_key
 
 WORDS, THRESHOLD, BINS = 5, 0.8, 64
 #: The smallest class holds items of up to this many shingles; each further class twice as many.
@@ -155,7 +156,7 @@ def contaminated(
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             rows, keys, all_shingles = [], [], []
             for i, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
                 hashes = shingle_hashes(text or b"", words)
@@ -181,7 +182,7 @@ def contaminated(
         search_in = docs
     own = search_in.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
+        text_key(F.col(text_col)).alias("text_key"),
         F.col(text_col),
     )
     found = stored(
@@ -235,6 +236,6 @@ def drop_contaminated(
     # Stored, so that Spark knows how many there are when it chooses the join.
     gone = stored(found.select("doc_id", "text_key").distinct(), "contaminated")
     same = docs[id_col].cast("bigint").eqNullSafe(gone["doc_id"]) & (
-        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == gone["text_key"]
+        text_key(docs[text_col]) == gone["text_key"]
     )
     return docs.join(gone, same, "left_anti")

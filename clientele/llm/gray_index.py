@@ -25,8 +25,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.arrow import slices
 from clientele.llm.components import connected_components
-from clientele.llm.scratch import stored
+from clientele.llm.scratch import stored, text_key
 
 RADIUS, BLOCK, GROUP = 4, 2048, 32
 #: Bits of the five segments, which make up the 64.
@@ -57,18 +58,24 @@ def simhash(text: bytes, words: int = 4, seed: int = 42) -> int:
 def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42
 ) -> DataFrame:
-    """``doc_id, fp``; the 64 bits as a signed number. A null or wordless text has 0."""
+    """``doc_id, text_key, fp``: a hash that tells texts apart, and the 64 bits as a signed
+    number. A null or wordless text has 0."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+        for batch in slices(batches):
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
             found = np.fromiter((simhash(t or b"", words, seed) for t in texts), "<u8", len(texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(found.view(np.int64))],
+                ["doc_id", "text_key", "fp"],
             )
 
-    chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return chosen.mapInArrow(hashed, "doc_id bigint, fp bigint")
+    chosen = docs.select(
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        text_key(F.col(text_col)).alias("text_key"),
+        F.col(text_col).alias("text"),
+    )
+    return chosen.mapInArrow(hashed, "doc_id bigint, text_key bigint, fp bigint")
 
 
 # --- the index ---------------------------------------------------------------
@@ -286,10 +293,15 @@ def near_duplicates(
     smallest id that links of at most ``RADIUS`` bits lead to, its own included.
 
     Null and wordless texts have fingerprint 0 and link like any other. Rows that repeat an
-    id are one document to the links if one of their fingerprints is linked. A row without
-    an id has its fingerprint, no component, and links nothing. Other columns are not
-    looked at; an empty table gives no rows.
+    id each follow their own text. A row without an id has its fingerprint, no component,
+    and links nothing. Other columns are not looked at; an empty table gives no rows.
     """
+    return _with_components(docs, id_col, text_col, words, seed).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def _with_components(docs: DataFrame, id_col: str, text_col: str, words: int = 4, seed: int = 42) -> DataFrame:
     hashed = stored(fingerprints(docs, id_col, text_col, words, seed), "fingerprints")
     known = hashed.where("doc_id IS NOT NULL")
     # From here on, a fingerprint goes by the smallest id that has it.
@@ -306,17 +318,17 @@ def near_duplicates(
         F.col("fp").alias("of_fp"), F.coalesce("component", "first_id").alias("component_id")
     )
     joined = hashed.join(by_fp, F.col("fp") == F.col("of_fp"), "left")
-    return joined.select(
-        "doc_id",
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
-    )
+    component = F.when(F.col("doc_id").isNotNull(), F.col("component_id"))
+    return joined.select("doc_id", "text_key", "fp", component.alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """The documents that name their group, all columns as they were. Documents without an
-    id stay; of rows that repeat an id, all stay if that id names its group."""
-    found = near_duplicates(docs, id_col, text_col, **kwargs)
+    id stay; rows that repeat an id and a text are that document, and stay or go together."""
+    found = _with_components(docs, id_col, text_col, **kwargs)
     # Stored, so that Spark knows how many there are when it chooses the join.
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    return docs.join(gone, docs[id_col].cast("bigint") == gone["doc_id"], "left_anti")
+    gone = stored(
+        found.where("doc_id <> component_id").select("doc_id", "text_key").distinct(), "copies"
+    )
+    same = (docs[id_col].cast("bigint") == gone["doc_id"]) & (text_key(docs[text_col]) == gone["text_key"])
+    return docs.join(gone, same, "left_anti")

@@ -18,10 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.scratch import stored
+from clientele.llm.arrow import slices
+from clientele.llm.scratch import stored, text_key
 
 MIN_CHARS = 10
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -30,15 +31,10 @@ _LINES = pa.schema(
 )
 
 
-def text_key(text: Column) -> Column:
-    """Tells rows with one id and different texts apart; null is the empty text."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def _line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             for doc_id, own, text in zip(
@@ -185,9 +181,13 @@ def drop_repeated_lines(
     """The documents without the lines that ``line_bitmaps`` drops, all columns as they were."""
     marked = with_bitmaps(docs, line_bitmaps(docs, id_col, text_col, min_chars), id_col, text_col)
 
-    @F.pandas_udf("string")
-    def kept(texts, keeps):
-        return texts.combine(keeps, lambda text, keep: "\n".join(kept_lines(text, keep)))
+    @F.arrow_udf("string")
+    def kept(texts: pa.Array, keeps: pa.Array) -> pa.Array:
+        pairs = zip(texts, keeps)  # row by row, so that no batch is there twice
+        return pa.array(
+            (None if not k.is_valid else "\n".join(kept_lines(t.as_py(), k.as_py())) for t, k in pairs),
+            pa.string(),
+        )
 
     text = F.when(F.col("keep").isNull(), F.col(f"row.`{text_col}`")).otherwise(
         kept(F.col(f"row.`{text_col}`"), "keep")
@@ -203,7 +203,7 @@ def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     marked = with_bitmaps(docs, line_bitmaps(docs, id_col, text_col), id_col, text_col)
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts, sums = [], []
             for text, keep in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
                 counts.append((text or "").count("\n") + 1)

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.scratch import stored
+from clientele.llm.scratch import stored, text_key
 
 WHITE = r"[\x20\x09-\x0D]+"
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -86,9 +86,8 @@ def with_base(docs: DataFrame, whole: Column, keep: list[Column]) -> DataFrame:
 
 
 def normalised_line(line: Column) -> Column:
-    """Stripped of white space, with A-Z in lower case and every run of digits as one 0."""
-    stripped = F.translate(F.btrim(line, F.lit(_SPACES)), _AZ, _AZ.lower())
-    return F.when(stripped.rlike("[0-9]"), F.regexp_replace(stripped, "[0-9]+", "0")).otherwise(stripped)
+    """Stripped of white space, with A-Z in lower case."""
+    return F.translate(F.btrim(line, F.lit(_SPACES)), _AZ, _AZ.lower())
 
 
 def boilerplate_lines(lines: DataFrame, hosts: DataFrame, limits: LineLimits) -> DataFrame:
@@ -103,41 +102,28 @@ def boilerplate_lines(lines: DataFrame, hosts: DataFrame, limits: LineLimits) ->
     )
 
 
-def quality_report(
-    docs: DataFrame,
-    limits: LineLimits = LineLimits(),
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    host_col: str = "source",
-) -> DataFrame:
-    """Per document ``doc_id, host, text_key``, its statistics, ``base_failed``, how many
-    characters in words its host's boilerplate lines take (``lost_chars``), and ``kept``.
-
-    A null text is an empty one, which fails. Documents without a host are one host's; a null
-    id stays null. Repeated rows each get their row. Other columns are not looked at; an
-    empty table gives no rows.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.select(
+def _texts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(host_col).cast("string").alias("host"),
-        F.xxhash64(text).alias("text_key"),
-        text.alias("_text"),
+        text_key(F.col(text_col)).alias("text_key"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
     )
-    lines = F.transform(
-        F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+
+
+def _lines(text: Column) -> Column:
+    """The lines with a word as structs of their hash and the characters in their words."""
+    return F.transform(
+        F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
         lambda x: F.struct(
             F.xxhash64(normalised_line(x)).alias("line_key"),
             F.length(F.regexp_replace(x, WHITE, "")).cast("bigint").alias("chars"),
         ),
     )
-    # The texts are read once; from here on there are hashes and counts only.
-    marked = stored(
-        with_base(own, F.col("_text"), keep=[lines.alias("lines")]).withColumn(
-            "row_id", F.monotonically_increasing_id()
-        ),
-        "statistics",
-    )
+
+
+def _lost(marked: DataFrame, limits: LineLimits) -> DataFrame:
+    """``of_row, lost``: what boilerplate lines take from the rows of ``marked`` that have any."""
     hosts = marked.groupBy(F.col("host").alias("of_host")).agg(
         F.countDistinct("text_key").alias("host_documents")
     )
@@ -146,7 +132,7 @@ def quality_report(
     # A frequent line has very many rows; they are dealt over several parts, and the short
     # list of such lines is repeated for each.
     salts = F.sequence(F.lit(0), F.lit(limits.spread - 1))
-    lost = (
+    return (
         rows.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(limits.spread)).cast("int"))
         .join(
             frequent.withColumn("of_salt", F.explode(salts)),
@@ -157,11 +143,35 @@ def quality_report(
         .groupBy(F.col("row_id").alias("of_row"))
         .agg(F.sum("chars").alias("lost"))
     )
+
+
+def quality_report(
+    docs: DataFrame,
+    limits: LineLimits = LineLimits(),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """Per document ``doc_id, host, text_key``, its statistics, ``base_failed``, how many
+    characters in words its host's boilerplate lines take (``lost_chars``), and ``kept``.
+
+    A null text is an empty one, which fails. Documents without a host are one host's; a null
+    id stays null. Repeated rows each get their row. Other columns are not looked at; an
+    empty table gives no rows.
+    """
+    own = _texts(docs, id_col, text_col, host_col)
+    # The texts are read once; from here on there are hashes and counts only.
+    marked = stored(
+        with_base(own, F.col("_text"), [_lines(F.col("_text")).alias("lines")]).withColumn(
+            "row_id", F.monotonically_increasing_id()
+        ),
+        "statistics",
+    )
     lost_chars = F.coalesce("lost", F.lit(0)).cast("bigint")
     left = F.col("word_chars") - lost_chars
     return (
         marked.drop("lines")
-        .join(lost, F.col("row_id") == F.col("of_row"), "left")
+        .join(_lost(marked, limits), F.col("row_id") == F.col("of_row"), "left")
         .withColumn("lost_chars", lost_chars)
         .withColumn("kept", ~F.col("base_failed") & (left >= limits.min_left * F.col("word_chars")))
         .drop("row_id", "of_row", "lost")
@@ -175,15 +185,42 @@ def keep_good_documents(
     text_col: str = "text",
     host_col: str = "source",
 ) -> DataFrame:
-    """The documents that ``quality_report`` keeps, all columns and whole texts as they were."""
-    report = quality_report(docs, limits, id_col, text_col, host_col)
+    """The documents that ``quality_report`` keeps, all columns and whole texts as they were.
+
+    What fails by its own text goes on the way, so that only the depleted documents are
+    looked up and texts need not be shuffled while those are few.
+    """
+    own = _texts(docs, id_col, text_col, host_col)
+    marked = stored(
+        own.withColumn("lines", _lines(F.col("_text")))
+        .drop("_text")
+        .withColumn("row_id", F.monotonically_increasing_id()),
+        "host_lines",
+    )
+    chars = F.aggregate("lines", F.lit(0).cast("bigint"), lambda n, x: n + x["chars"])
+    lost = marked.join(_lost(marked, limits), F.col("row_id") == F.col("of_row"))
     # Stored, so that Spark knows how many there are when it chooses the join.
-    rejected = stored(
-        report.where(~F.col("kept")).select("doc_id", "host", "text_key").distinct(), "rejected"
+    depleted = stored(
+        lost.where(chars - F.col("lost") < limits.min_left * chars)
+        .select("doc_id", "host", "text_key")
+        .distinct(),
+        "depleted",
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = docs.select(
+        row,
+        F.col(id_col).cast("bigint").alias("own_id"),
+        F.col(host_col).cast("string").alias("own_host"),
+        text_key(F.col(text_col)).alias("own_key"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
     )
+    # The row number keeps Spark from moving the filter into the expressions that the
+    # statistics are made of, where it would compute them over and over.
+    numbered = with_base(whole, F.col("_text"), []).withColumn("row_no", F.monotonically_increasing_id())
+    passed = numbered.where(~F.col("base_failed") & (F.col("row_no") >= 0))
     same = (
-        docs[id_col].cast("bigint").eqNullSafe(rejected["doc_id"])
-        & docs[host_col].cast("string").eqNullSafe(rejected["host"])
-        & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == rejected["text_key"])
+        F.col("own_id").eqNullSafe(F.col("doc_id"))
+        & F.col("own_host").eqNullSafe(F.col("host"))
+        & (F.col("own_key") == F.col("text_key"))
     )
-    return docs.join(rejected, same, "left_anti")
+    return passed.join(depleted, same, "left_anti").select("row.*")

@@ -141,6 +141,7 @@ def token_pieces(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, _RANKED)], schema=_RANKED
             )
+        pa.default_memory_pool().release_unused()
 
     chosen = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.arrow import slices
 from clientele.llm.bilstm_crf import Tagger
 
 KINDS = ("email", "ip", "card", "phone")
@@ -313,7 +314,7 @@ def find_personal_data(
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             base = list(map(base_spans, texts))
             tags: list[dict[int, np.ndarray]] = [{} for _ in texts]

@@ -126,7 +126,7 @@ WITH docs AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
 ), lines AS (
     SELECT doc_id, source, text,
-        regexp_replace(translate(trim(line, {_WHITE}), {_AZ}), '[0-9]+', '0', 'g') AS key,
+        translate(trim(line, {_WHITE}), {_AZ}) AS key,
         length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars
     FROM (SELECT doc_id, source, text, unnest(lines) AS line FROM base)
 ), frequent AS (

@@ -184,6 +184,7 @@ def encode_documents(
                 [batch.column(0), pa.array(list(map(len, ids)), pa.int64()), pa.array(small, pa.binary())],
                 ["doc_id", "n", "ids"],
             )
+        pa.default_memory_pool().release_unused()
 
     spark = docs.sparkSession
     chosen = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))

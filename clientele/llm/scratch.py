@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -21,3 +22,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def text_key(text: Column) -> Column:
+    """Tells rows with one id and different texts apart; null is the empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))

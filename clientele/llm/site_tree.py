@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.arrow import slices
 from clientele.llm.scratch import stored
 
 
@@ -217,7 +218,7 @@ _HOST = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#]*@)?([^/?#:]+)", re.I)
 
 
 def _parse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for page_id, url, page in zip(*(c.to_pylist() for c in batch.columns)):
             found = _HOST.match(url or "")

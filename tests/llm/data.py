@@ -32,7 +32,7 @@ def awkward(spark):
         (None, shared),
         (None, None),
         (6, "tiny"),
-        (7, " ".join(f"word{i * i % 10007}" for i in range(30_000)) + "\n" + shared),
+        (7, " ".join(f"word{i * 7919 % 100_003}" for i in range(30_000)) + "\n" + shared),
         (8, "Ünï ço𝒹e   and\x0bodd\x0cwhite\xa0space"),
     ]
     rows = [

@@ -1,0 +1,86 @@
+import random
+
+import pytest
+
+from clientele.llm.containment import contaminated, drop_contaminated
+from tests.llm.data import CLASHES, awkward, nothing, shingles
+
+ITEMS = "item_id bigint, text string, " + ", ".join(f"{c} string" for c in CLASHES)
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame([(*r, *["x"] * len(CLASHES)) for r in rows], ITEMS)
+
+
+def plain(docs, items, threshold=0.8):
+    out = set()
+    for doc_id, text in docs:
+        own = set(shingles(text, 5))
+        for item_id, item in items:
+            wanted = set(shingles(item, 5))
+            if item_id is not None and wanted and len(own & wanted) >= threshold * len(wanted):
+                out.add((doc_id, item_id, len(own & wanted), len(wanted)))
+    return out
+
+
+def prose(rng, n):
+    return " ".join(f"w{rng.randrange(4000)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def planted():
+    """Items of 3 to 300 words, whole, changed in a word or two, cut short or in halves, in
+    documents of up to 20,000 words."""
+    rng = random.Random(11)
+    items = [(i, prose(rng, n)) for i, n in enumerate([3, 5, 9, 20, 21, 37, 40, 68, 80, 120, 300])]
+    docs = []
+    for k in range(160):
+        item = rng.choice(items)[1].split()
+        kind = k % 5
+        if kind == 1:
+            item[rng.randrange(len(item))] = "changed"
+        elif kind == 2:
+            item = item[: max(1, len(item) * 8 // 10 + rng.randrange(3))]
+        elif kind == 4:
+            item = []
+        n = rng.choice([0, 10, 300, 3000, 20_000 if k < 20 else 500])
+        front, back = prose(rng, rng.randrange(n + 1)), prose(rng, n)
+        half = len(item) // 2
+        parts = [front, *item[:half], back, *item[half:]] if kind == 3 else [front, *item, back]
+        docs.append((k, " ".join(parts).upper() if k % 2 else "\n".join(parts)))
+    return docs, items
+
+
+def test_every_planted_item_is_found(spark, planted):
+    docs, items = planted
+    expected = plain(docs, items)
+    assert len(expected) > 80
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = contaminated(df, items_of(spark, items)).drop("text_key").collect()
+    assert {tuple(r) for r in found} == expected and len(found) == len(expected)
+    left = {r["doc_id"] for r in drop_contaminated(df, items_of(spark, items)).collect()}
+    assert left == {i for i, _ in docs} - {i for i, *_ in expected}
+
+
+def test_awkward_documents(spark):
+    docs = awkward(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    items = [(1, "one line that is shared by several of these texts"), (1, "one line that is shared by several of these texts"),
+             (2, None), (3, ""), (None, "tiny"), (4, "TINY"), (5, " ".join(f"word{i * 7919 % 100_003}" for i in range(29_000)))]
+    found = contaminated(docs, items_of(spark, items)).drop("text_key").collect()
+    # Under one id with several texts, each text is reported.
+    assert {tuple(r) for r in found} == plain(rows, items)
+    kept = drop_contaminated(docs, items_of(spark, items))
+    assert kept.columns == docs.columns
+    gone = {(i, t) for i, t in rows if plain([(i, t)], items)}
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect()) == sorted(
+        (str(i), t or "") for i, t in rows if (i, t) not in gone
+    )
+
+
+def test_empty_tables(spark):
+    some = items_of(spark, [(1, "a b c d e f")])
+    assert contaminated(nothing(spark), some).collect() == []
+    assert contaminated(awkward(spark), items_of(spark, [])).collect() == []
+    assert drop_contaminated(awkward(spark), items_of(spark, [])).count() == awkward(spark).count()
+    assert drop_contaminated(nothing(spark), some).collect() == []

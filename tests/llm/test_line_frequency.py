@@ -1,0 +1,76 @@
+import re
+
+import pytest
+
+from clientele.llm.line_frequency import LineLimits, keep_good_documents, quality_report
+from tests.helpers import plan_of
+from tests.llm.data import awkward, nothing, words
+
+
+def plain_base(text):
+    text = text or ""
+    found = words(text)
+    grams = [tuple(found[i : i + 3]) for i in range(len(found) - 2)]
+    hit = {i + j for i, g in enumerate(grams) if grams.count(g) > 1 for j in range(3)} if len(grams) < 2000 else set()  # the long text repeats nothing
+    lines = [x for x in text.split("\n") if words(x)]
+    return (
+        len(found),
+        sum(map(len, found)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(hit),
+    )
+
+
+@pytest.fixture(scope="module")
+def boilerplate(spark):
+    """A host whose pages share a footer; 30 pages are little else. Copies of one page."""
+    own = lambda i: " ".join(f"word{i}x{k}" for k in range(60))
+    footer = " ".join(f"footer{k}" for k in range(400))
+    rows = [(i, own(i), "good") for i in range(60)]
+    rows += [(100 + i, f"{own(i)}\n  {footer.upper()} ", "host") for i in range(30)]
+    rows += [(200 + i, own(1000), "copies") for i in range(50)]
+    rows += [(300 + i, f"{own(i)}\n{footer}", "small") for i in range(10)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+
+
+def test_depleted_documents_are_rejected(boilerplate):
+    kept = {r["doc_id"]: r["kept"] for r in quality_report(boilerplate).collect()}
+    assert {i for i, k in kept.items() if not k} == set(range(100, 130))
+    left = {r["doc_id"] for r in keep_good_documents(boilerplate).collect()}
+    assert left == {i for i, k in kept.items() if k}
+    strict = quality_report(boilerplate, LineLimits(min_documents=5)).where("NOT kept")
+    assert {r["doc_id"] for r in strict.collect()} == {*range(100, 130), *range(300, 310)}
+
+
+def test_base_of_awkward_documents(spark):
+    docs = awkward(spark)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    found = quality_report(docs).select("doc_id", *names, "base_failed", "kept").collect()
+    expected = []
+    for r in docs.collect():
+        base = plain_base(r["text"])
+        failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
+        expected.append((r["doc_id"], *base, failed, not failed))
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
+@pytest.mark.parametrize("text", ["a a a a", "x y z x y z q", "a b c d a b c", "x|y <b>\n<b>\n\n \n<b>", "w " * 70, "é é é é é é"])
+def test_base_of_small_texts(spark, text):
+    docs = spark.createDataFrame([(1, text, None)], "doc_id bigint, text string, source string")
+    row = quality_report(docs).first()
+    assert (row["n_words"], row["word_chars"], row["n_symbols"], row["n_dup_lines"], row["n_repeat_words"]) == plain_base(text)
+
+
+def test_documents_keep_their_columns(spark):
+    docs = awkward(spark)
+    kept = keep_good_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 2, 7]
+    for df in (quality_report(nothing(spark)), keep_good_documents(nothing(spark))):
+        assert df.collect() == []
+
+
+def test_no_python_in_the_plan(spark):
+    for df in (quality_report(awkward(spark)), keep_good_documents(awkward(spark))):
+        assert not re.search("Python|Pandas|Arrow", plan_of(df))

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.arrow import slices
 from clientele.llm.scratch import stored
 
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -141,6 +142,17 @@ _TURNS = pa.schema(
         ("product", pa.list_(pa.int64())),
     ]
 )
+_OUT = pa.schema(
+    [
+        ("conv_id", pa.int64()),
+        ("turn", pa.int64()),
+        *((name, pa.string()) for name in ("old_role", "role", "action", "inserted")),
+        ("cost", pa.int64()),
+        ("piece", pa.string()),
+        ("part", pa.int32()),
+        ("pos", pa.int64()),
+    ]
+)
 _OUT_SQL = (
     "conv_id bigint, turn bigint, old_role string, role string, action string, inserted string,"
     " cost bigint, piece string"
@@ -225,38 +237,53 @@ def repair(
         F.col("conv_id").alias("of_conv"), F.col("part").alias("of_part"), "before", "last", "final"
     )
 
-    def decode_part(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos")
-        first = rows.iloc[0]
-        old = np.array([role_index(r) for r in rows["role"]], dtype=np.int64)
-        state, new = decode(old, np.array(first["before"], dtype=np.int64), int(first["last"]), costs)
+    def decode_run(rows: list[dict]) -> list[tuple]:
+        """What one part of the sort holds of one conversation."""
+        first = rows[0]
+        old = np.array([role_index(r["role"]) for r in rows], dtype=np.int64)
+        state, new = decode(old, np.array(first["before"], dtype=np.int64), first["last"], costs)
         step, end = steps(costs)
         relabel = turn_costs(old, costs)
         out = []
-        for i, (text, role) in enumerate(zip(rows["text"], new.tolist())):
+        for i, (row, role) in enumerate(zip(rows, new.tolist())):
             merged, inserted = _between(state, role, costs)
-            changed = role != old[i]
             cost = int(step[state, role] + relabel[i, role])
             names = ",".join(ROLES[r] for r in inserted)
             piece = "\n\n" if merged else _CLOSED if state != START else ""
-            piece += "".join(_opened(r) + _CLOSED for r in inserted) + ("" if merged else _opened(role)) + text
-            if first["final"] and i + 1 == len(new):
+            piece += "".join(_opened(r) + _CLOSED for r in inserted)
+            piece += ("" if merged else _opened(role)) + row["text"]
+            if first["final"] and i + 1 == len(rows):
                 piece += _CLOSED
                 behind = [[], [USER, ASSISTANT], [ASSISTANT], []][role]
                 if behind:
                     names += ";" + ",".join(ROLES[r] for r in behind)
                     piece += "".join(_opened(r) + _CLOSED for r in behind)
                     cost += int(end[role])
-            action = "+".join([*["relabel"] * bool(changed), *["merge"] * merged]) or "keep"
-            out.append((ROLES[role], action, names, cost, piece))
+            action = "+".join([*["relabel"] * bool(role != old[i]), *["merge"] * merged]) or "keep"
+            place = row["part"], row["pos"]
+            out.append((row["conv_id"], row["turn"], row["role"], ROLES[role], action, names, cost, piece, *place))
             state = role
-        done = pd.DataFrame(out, columns=["role", "action", "inserted", "cost", "piece"], index=rows.index)
-        done.insert(0, "old_role", rows["role"])
-        done.insert(0, "turn", rows["turn"])
-        done.insert(0, "conv_id", rows["conv_id"])
-        return done.assign(part=rows["part"], pos=rows["pos"])
+        return out
+
+    def decode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+
+        def done(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * len(_OUT)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _OUT)], schema=_OUT)
+
+        for batch in slices(batches):
+            out: list[tuple] = []
+            for row in batch.to_pylist():
+                if held and (held[0]["conv_id"], held[0]["part"]) != (row["conv_id"], row["part"]):
+                    out += decode_run(held)
+                    held = []
+                held.append(row)
+            yield done(out)
+        if held:
+            yield done(decode_run(held))
 
     same = F.col("conv_id").eqNullSafe(F.col("of_conv")) & (F.col("part") == F.col("of_part"))
     rows = table.where("product IS NULL").drop("product").join(known, same).drop("of_conv", "of_part")
-    # A group is what one part of the sort holds of one conversation.
-    return rows.groupBy("conv_id", "part").applyInPandas(decode_part, f"{_OUT_SQL}, part int, pos bigint")
+    runs = rows.repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "pos")
+    return runs.mapInArrow(decode_rows, f"{_OUT_SQL}, part int, pos bigint")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clientele.llm.containment import contaminated
 from clientele.llm.gray_index import near_duplicates
 from clientele.llm.license_scan import scan
 from clientele.llm.line_dedup import line_report
 from clientele.llm.line_frequency import quality_report
+from clientele.llm.merkle import manifest
 from clientele.llm.packing import pack_documents
 from clientele.llm.pii import find_personal_data
 from clientele.llm.rans import encode_documents, read_documents
@@ -66,6 +68,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_documents(spark, sf_dir))
 
 
+def op13_bitmap_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    n_chars = F.when(changed, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return manifest(_documents(spark, sf_dir), seen={"n_chars": n_chars})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_tree": op1_site_tree,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bilstm_crf": op8_bilstm_crf,
     "op9_containment": op9_containment,
     "op10_license_scan": op10_license_scan,
+    "op13_bitmap_rank": op13_bitmap_rank,
 }
 
 # The lower case of A-Z alone, and the white space that lines are stripped of.

@@ -176,4 +176,65 @@ FROM (
 WHERE n_shared >= 0.8 * n_shingles
 """
 
-ORACLES: dict[str, str] = {"op9_containment": OP9, "op4_line_frequency": OP4, "op6_line_dedup": OP6}
+
+def _fields(n_chars: str) -> str:
+    coded = [f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')" for x in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(coded)})"
+
+
+# Checksums of decimal ids, bit by bit; trees level by level; a path is a list of steps, each
+# a side and a sibling, or a blank without one.
+OP13 = f"""
+WITH RECURSIVE rows AS (
+    SELECT *, xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+        lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 7 = 0 AS changed
+    FROM documents
+), leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS g, {_fields("n_chars")} AS leaf,
+        CASE WHEN changed THEN {_fields("(n_chars + 1)")} ELSE {_fields("n_chars")} END AS seen
+    FROM rows
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves
+), tree AS (
+    SELECT g, 0 AS level, pos, leaf AS hash, n FROM placed
+    UNION ALL
+    SELECT g, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (any_value(n) + 1) // 2
+    FROM tree WHERE n > 1 GROUP BY g, level, pos // 2
+), subroots AS (
+    SELECT g, level AS top, hash AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n
+    FROM tree WHERE n = 1
+), forest AS (
+    SELECT 0 AS level, pos, subroot AS hash, n FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (any_value(n) + 1) // 2
+    FROM forest WHERE n > 1 GROUP BY level, pos // 2
+), lower_steps AS (
+    SELECT p.g, p.pos, list(coalesce(CASE WHEN (p.pos >> t.level) & 1 = 1 THEN 'L' ELSE 'R' END || o.hash, '') ORDER BY t.level) AS steps
+    FROM placed p JOIN tree t ON t.g = p.g AND t.pos = p.pos >> t.level AND t.n > 1
+    LEFT JOIN tree o ON o.g = t.g AND o.level = t.level AND o.pos = xor(t.pos, 1)
+    GROUP BY p.g, p.pos
+), upper_steps AS (
+    SELECT s.g, list(coalesce(CASE WHEN (s.pos >> t.level) & 1 = 1 THEN 'L' ELSE 'R' END || o.hash, '') ORDER BY t.level) AS steps
+    FROM subroots s JOIN forest t ON t.pos = s.pos >> t.level AND t.n > 1
+    LEFT JOIN forest o ON o.level = t.level AND o.pos = xor(t.pos, 1)
+    GROUP BY s.g
+), paths AS (
+    SELECT doc_id, leaf, seen, subroot, f.hash AS root, coalesce(l.steps, []) || coalesce(u.steps, []) AS steps
+    FROM placed p JOIN subroots s USING (g) JOIN forest f ON f.n = 1
+    LEFT JOIN lower_steps l ON l.g = p.g AND l.pos = p.pos LEFT JOIN upper_steps u ON u.g = p.g
+), ends AS (
+    SELECT *, sha256(array_to_string(list_transform(steps, lambda s: substring(s, 2)), '')) AS proof_sha256,
+        list_reduce([seen] || steps, lambda h, s: sha256(
+            CASE WHEN s[1] = 'L' THEN substring(s, 2) || h ELSE h || substring(s, 2) END)) AS folded_root
+    FROM paths
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM ends
+"""
+
+ORACLES: dict[str, str] = {
+    "op9_containment": OP9,
+    "op4_line_frequency": OP4,
+    "op6_line_dedup": OP6,
+    "op13_bitmap_rank": OP13,
+}

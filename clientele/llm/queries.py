@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientele.llm.alignment import align
 from clientele.llm.containment import contaminated
 from clientele.llm.gray_index import near_duplicates
 from clientele.llm.license_scan import scan
@@ -68,6 +69,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_documents(spark, sf_dir))
 
 
+def op12_fragment_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_documents(spark, sf_dir))
+
+
 def op13_bitmap_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     n_chars = F.when(changed, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bilstm_crf": op8_bilstm_crf,
     "op9_containment": op9_containment,
     "op10_license_scan": op10_license_scan,
+    "op12_fragment_monoid": op12_fragment_monoid,
     "op13_bitmap_rank": op13_bitmap_rank,
 }
 

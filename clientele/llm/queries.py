@@ -20,6 +20,7 @@ from clientele.llm.rans import encode_documents, read_documents
 from clientele.llm.role_repair import repair
 from clientele.llm.scratch import scratch_path
 from clientele.llm.site_tree import extract
+from clientele.llm.suffix_dedup import repeat_report
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +70,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_documents(spark, sf_dir))
 
 
+def op11_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(_documents(spark, sf_dir))
+
+
 def op12_fragment_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(_documents(spark, sf_dir))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bilstm_crf": op8_bilstm_crf,
     "op9_containment": op9_containment,
     "op10_license_scan": op10_license_scan,
+    "op11_two_stage_suffixes": op11_two_stage_suffixes,
     "op12_fragment_monoid": op12_fragment_monoid,
     "op13_bitmap_rank": op13_bitmap_rank,
 }

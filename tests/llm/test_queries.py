@@ -30,7 +30,8 @@ def test_query_matches_sql(spark, duck, name):
 
 
 @pytest.mark.parametrize("name, table", [("op1_site_tree", "pages"), ("op2_best_fit_packing", "documents"), ("op3_range_coding", "documents"),
-    ("op5_gray_index", "documents"), ("op7_role_repair", "conversations"), ("op8_bilstm_crf", "documents"), ("op10_license_scan", "documents")])
+    ("op5_gray_index", "documents"), ("op7_role_repair", "conversations"), ("op8_bilstm_crf", "documents"), ("op10_license_scan", "documents"), ("op11_two_stage_suffixes", "documents"),
+    ("op12_fragment_monoid", "documents")])
 def test_query_runs_over_its_whole_table(spark, duck, name, table):
     n = QUERIES[name](spark, SF_DIR).count()
     rows = duck.execute(f"SELECT count(*) FROM {table}").fetchone()[0]

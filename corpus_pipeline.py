@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.containment import drop_contaminated
+from clientele.llm.gray_index import keep_one_of_each
 from clientele.llm.line_dedup import drop_repeated_lines
 from clientele.llm.line_frequency import keep_good_documents
-from clientele.llm.near_copies import drop_near_copies
 from clientele.llm.packing import pack_documents
 from clientele.llm.scratch import scratch_path
 
@@ -33,9 +33,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, of a similarity of 0.8 or more over
-    five-word shingles, stays, the one with the smallest id."""
-    return drop_near_copies(docs)
+    """One document of each group of near duplicates, by four-word shingles and at most four
+    bits of the SimHash, stays, the one with the smallest id."""
+    return keep_one_of_each(docs, words=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

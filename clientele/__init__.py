@@ -15,8 +15,10 @@ from clientele.operators import (
     add_eligibility,
     add_full_name,
     arrange,
+    bucket_digests,
     count_rows,
     count_where,
+    filter_eligible,
     first_row,
     frame_diff,
     frames_equal,
@@ -26,12 +28,13 @@ from clientele.operators import (
     select_columns,
     sort_rows,
 )
-from clientele.plans import PRESETS, Pipeline, preset
+from clientele.plans import PRESETS, Outcome, Pipeline, preset
 from clientele.sinks import drop_table, overwrite_table, restore_table
 from clientele.sources import get_session, read_table
 
 __all__ = [
     "EligibilityRule",
+    "Outcome",
     "PRESETS",
     "Pipeline",
     "add_age",
@@ -41,9 +44,11 @@ __all__ = [
     "age_years",
     "arrange",
     "birth_cutoff",
+    "bucket_digests",
     "count_rows",
     "count_where",
     "drop_table",
+    "filter_eligible",
     "first_row",
     "flag",
     "frame_diff",

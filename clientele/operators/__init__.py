@@ -1,7 +1,8 @@
 """DataFrame operators: each takes and returns DataFrames and stays lazy,
-except ``frames_equal`` and ``heavy_keys``, which run a job."""
+except that ``frames_equal``, ``heavy_keys``, ``filter_eligible``, ``join_on`` with hot keys
+and ``sort_rows`` without ``cut_ties`` run small jobs of their own."""
 
-from clientele.operators.compare import frame_diff, frames_equal
+from clientele.operators.compare import bucket_digests, frame_diff, frames_equal
 from clientele.operators.counts import count_rows, count_where
 from clientele.operators.derive import (
     EligibilityRule,
@@ -11,6 +12,7 @@ from clientele.operators.derive import (
     require_columns,
     select_columns,
 )
+from clientele.operators.eligible import filter_eligible
 from clientele.operators.joins import heavy_keys, join_on
 from clientele.operators.layout import arrange
 from clientele.operators.ordering import first_row, sort_rows
@@ -21,8 +23,10 @@ __all__ = [
     "add_eligibility",
     "add_full_name",
     "arrange",
+    "bucket_digests",
     "count_rows",
     "count_where",
+    "filter_eligible",
     "first_row",
     "frame_diff",
     "frames_equal",

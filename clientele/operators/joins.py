@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientele.operators.naming import free_name, row_hash
+from clientele.operators.plan_text import shuffles
 
 
 def join_on(
@@ -20,31 +23,81 @@ def join_on(
     hot_keys: Mapping[Any, int] | None = None,
     hot_left_keys: Mapping[Any, int] | None = None,
     slice_rows: int = 1_000_000,
+    broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Inner equi-join that keeps all columns of both sides, both keys included.
 
     Right columns whose name the left side already has get ``prefix``, so the
     result can be saved as a table. Null keys match nothing.
 
-    There is no broadcast hint: Spark broadcasts a side only below its size
-    threshold and otherwise sort-merges. A key that holds a large share of a
-    side then makes one oversized partition, which adaptive execution splits
-    at run time. Where adaptive execution is off, give such keys and their row
-    counts (``heavy_keys`` finds both) in ``hot_keys`` for the right side and
-    ``hot_left_keys`` for the left one. Their rows are dealt over slices of
-    about ``slice_rows`` rows, and only the other side's rows of those keys are
-    repeated to match.
+    Without hot keys there is no broadcast hint: Spark broadcasts a side only
+    below its size threshold and otherwise sort-merges. A key that holds a
+    large share of a side then makes one oversized partition, which adaptive
+    execution splits at run time. Where that is off or does not reach, give such
+    keys and their row counts (``heavy_keys`` finds both) in ``hot_keys`` for
+    the right side and ``hot_left_keys`` for the left one. The join is split:
+
+    * rows of all other keys are joined as without hot keys;
+    * for keys that are hot on one side, the other side's rows are counted. Up
+      to ``broadcast_rows``, they are broadcast, and the hot rows do not move;
+    * keys that are hot on both sides, or have more rows than that on the other,
+      are dealt over slices of about ``slice_rows`` rows, and the other side's
+      rows of those keys are repeated to match.
     """
     if slice_rows < 1:
         raise ValueError("slice_rows must be 1 or more.")
     right, right_key = _rename_collisions(left, right, right_key, prefix)
-    if not hot_keys and not hot_left_keys:
+    theirs, ours = dict(hot_keys or {}), dict(hot_left_keys or {})
+    if not theirs and not ours:
         return left.join(right, left[left_key] == right[right_key], "inner")
 
+    def of(df: DataFrame, key: str, keys: Iterable[Any]) -> DataFrame:
+        return df.where(df[key].isin(list(keys)))
+
+    def rest(df: DataFrame, key: str) -> DataFrame:
+        return df.where(~df[key].isin([*{**theirs, **ours}]))
+
+    cold_left, cold_right = rest(left, left_key), rest(right, right_key)
+    parts = [cold_left.join(cold_right, cold_left[left_key] == cold_right[right_key], "inner")]
+    dealt = set(theirs) & set(ours)
+    for big, big_key, small, small_key, keys in (
+        (right, right_key, left, left_key, theirs),
+        (left, left_key, right, right_key, ours),
+    ):
+        own = set(keys) - (set(theirs) & set(ours))
+        if not own:
+            continue
+        few = of(small, small_key, own)
+        if few.limit(broadcast_rows + 1).count() > broadcast_rows:
+            dealt |= own
+            continue
+        many = of(big, big_key, own)
+        if shuffles(big):
+            # An earlier shuffle may have put a key's rows in one partition.
+            tasks = sum(-(-keys[k] // slice_rows) for k in own)
+            many = many.repartition(tasks, row_hash(many))
+        joined = many.join(F.broadcast(few), many[big_key] == few[small_key], "inner")
+        parts.append(joined.select(*parts[0].columns))
+    if dealt:
+        parts.append(
+            _deal(of(left, left_key, dealt), of(right, right_key, dealt), left_key, right_key, ours, theirs, slice_rows)
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _deal(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    ours: Mapping[Any, int],
+    theirs: Mapping[Any, int],
+    slice_rows: int,
+) -> DataFrame:
     names = [free_name(f"__{n}", left, right) for n in ("left", "right", "left_", "right_")]
-    ours, theirs = _slices(hot_left_keys, slice_rows), _slices(hot_keys, slice_rows)
-    left = _dealt(left, left_key, names[0], ours, names[1], theirs)
-    right = _dealt(right, right_key, names[3], theirs, names[2], ours)
+    our_slices, their_slices = _slices(ours, slice_rows), _slices(theirs, slice_rows)
+    left = _dealt(left, left_key, names[0], our_slices, names[1], their_slices)
+    right = _dealt(right, right_key, names[3], their_slices, names[2], our_slices)
     matched = (
         (left[left_key] == right[right_key])
         & (left[names[0]] == right[names[2]])
@@ -57,17 +110,32 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> dict[Any, int]:
     """The key values that each hold more than ``share`` of all rows, with their row counts.
 
     Fewer than ``1 / share`` keys can do so, which bounds what reaches the
-    driver. Reads the key column only, once, and counts per partition before it
-    shuffles.
+    driver. Reads the key column only, once, into a sketch of fixed size per
+    task, so that keys are not shuffled. Counts are exact while there are few
+    different keys, and may be over by a fiftieth of ``share`` else. Keys of types
+    that the sketch does not take are counted one by one.
     """
     if not 0 < share < 1:
         raise ValueError("share must lie between 0 and 1.")
-    seen = Observation()
-    counts = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n"))
-    counts = counts.observe(seen, F.sum("n").alias("total"))
-    top = counts.orderBy(F.col("n").desc()).limit(int(1 / share) + 1).collect()
-    floor = (seen.get["total"] or 0) * share
-    return {row["key"]: row["n"] for row in top if row["n"] > floor and row["key"] is not None}
+    most = int(1 / share) + 1
+    column = F.col(key).alias("key")
+    if isinstance(df.select(column).schema["key"].dataType, _SKETCHED):
+        # At most 4 rows in tracked of the sketch's counts are in doubt.
+        tracked = min(max(10_000, 200 * most), 1_000_000)
+        top = f"approx_top_k(key, {most}, {tracked}) FILTER (WHERE key IS NOT NULL)"
+        found = df.select(column).agg(F.expr(top).alias("top"), F.count("*").alias("total")).first()
+        counts, total = {x["item"]: x["count"] for x in found["top"] or ()}, found["total"]
+    else:
+        seen = Observation()
+        rows = df.groupBy(column).agg(F.count("*").alias("n"))
+        rows = rows.observe(seen, F.sum("n").alias("total")).orderBy(F.col("n").desc()).limit(most)
+        counts = {x["key"]: x["n"] for x in rows.collect()}
+        total = seen.get["total"] or 0
+    return {k: n for k, n in counts.items() if k is not None and n > total * share}
+
+
+#: Types of which Spark's sketch of frequent items takes values.
+_SKETCHED = (T.StringType, T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType)
 
 
 def _slices(counts: Mapping[Any, int] | None, rows: int) -> dict[Any, int]:

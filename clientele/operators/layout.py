@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
 from typing import Union
 
 from pyspark.sql import DataFrame
 
+from clientele.operators.plan_text import keeps_whole_files
+
 Layout = Union[None, int, str]
 
 
@@ -33,3 +37,31 @@ def arrange(df: DataFrame, layout: Layout = None) -> DataFrame:
         # One partition would pass the whole table through one task.
         raise ValueError(f"layout must be None, 'compact' or a number from 2 up, not {layout!r}.")
     return df.repartition(layout)
+
+
+@contextlib.contextmanager
+def laid_out(df: DataFrame, layout: Layout = None) -> Iterator[DataFrame]:
+    """The frame to write while the context lasts.
+
+    As ``arrange`` has it, but that a ``"compact"`` projection of whole files is not
+    shuffled. Its scan is split by the advisory partition size instead, small files
+    together, so that each task writes one file of about that size.
+    """
+    arranged = arrange(df, layout)
+    if layout != "compact" or not keeps_whole_files(df):
+        yield arranged
+        return
+    conf = df.sparkSession.conf
+    splits = {
+        "spark.sql.files.maxPartitionBytes": conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"),
+        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.files.openCostInBytes": "4096",
+    }
+    before = {name: conf.get(name, None) for name in splits}
+    for name, value in splits.items():
+        conf.set(name, value)
+    try:
+        yield df
+    finally:
+        for name, value in before.items():
+            conf.unset(name) if value is None else conf.set(name, value)

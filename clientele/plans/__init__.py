@@ -1,6 +1,6 @@
 """Whole jobs: read, transform, overwrite."""
 
-from clientele.plans.pipeline import Pipeline
+from clientele.plans.pipeline import Outcome, Pipeline
 from clientele.plans.presets import PRESETS, preset
 
-__all__ = ["PRESETS", "Pipeline", "preset"]
+__all__ = ["PRESETS", "Outcome", "Pipeline", "preset"]

@@ -43,6 +43,10 @@ STRICT = f"SELECT *, first_name || last_name AS full_name FROM {CUSTOMERS}"
 NULL_SAFE = f"""SELECT *, coalesce(first_name, '') || ' ' || coalesce(last_name, '') AS full_name
     FROM {CUSTOMERS}"""
 
+FLAGGED_LINES = _flagged(
+    "(SELECT l_orderkey, l_linenumber, cast(l_shipdate AS date) AS dob, l_returnflag FROM lineitem)",
+    LEAP_DAY, canDrive=16, canVote=18, canDrink=21,
+)
 OLD_LINES = f"SELECT * EXCLUDE (age) FROM {_flagged(LINES, LEAP_DAY)} WHERE age >= 18"
 
 STATUS_TEXT = "CASE WHEN age >= 18 THEN 'Yes' ELSE 'No' END AS \"canDrive\""
@@ -64,6 +68,13 @@ DIFF_ALL = f"""
     UNION ALL
     SELECT *, 'right' AS side, CAST(1 AS BIGINT) AS copies FROM (FROM {DRIVE_18} EXCEPT ALL FROM {DRIVE_16})"""
 
+CHANGED = f"""(SELECT * REPLACE (CASE WHEN id % 997 = 0 THEN NOT "canDrive" ELSE "canDrive" END AS "canDrive")
+    FROM {DRIVE_16})"""
+DIFF_FEW = f"""
+    SELECT *, 'left' AS side, CAST(1 AS BIGINT) AS copies FROM (FROM {DRIVE_16} EXCEPT ALL FROM {CHANGED})
+    UNION ALL
+    SELECT *, 'right' AS side, CAST(1 AS BIGINT) AS copies FROM (FROM {CHANGED} EXCEPT ALL FROM {DRIVE_16})"""
+
 COUNTS = f"""SELECT
         count(*) FILTER (WHERE "canDrive") AS n_drive,
         count(*) FILTER (WHERE "canVote") AS n_vote,
@@ -82,6 +93,7 @@ ORACLES: dict[str, str] = {
     "overwrite_in_place": _all(VOTE_18),
     "overwrite_in_place_bucketed": f"""SELECT c.*, o.id AS order_id, o.customer_id, o.status, o.total,
         o.ordered_at FROM {DRIVE_16} c JOIN {ORDERS} o ON c.id = o.customer_id""",
+    "overwrite_one_step": _all(VOTE_18, "segment <> 'MACHINERY'"),
     "overwrite_schema_change": f"SELECT * EXCLUDE (dob) FROM ({STRICT})",
     "age_years": _all(AGED),
     "age_years_lineitem": _all(_flagged(LINES, LEAP_DAY, canDrive=16, canVote=18, canDrink=21)),
@@ -99,6 +111,8 @@ ORACLES: dict[str, str] = {
     "filter_column_eq": _all(ALL_FLAGS, "nation = 7"),
     "filter_reached_age": OLD_LINES,
     "filter_age_between": f"{OLD_LINES} AND age < 21",
+    "filter_eligible": f"""SELECT l_orderkey, l_linenumber, dob, l_returnflag, age, "canDrive", "canVote", "canDrink"
+        FROM {FLAGGED_LINES} WHERE age BETWEEN 18 AND 20 AND (l_returnflag <> 'N' OR age = 19)""",
     "customer_orders_inner": JOINED,
     "customer_orders_hot_keys": f"""SELECT c.*, o.id AS order_id, o.customer_id, o.status, o.total,
         o.ordered_at FROM (SELECT {HOT_VISITS} FROM customer) c
@@ -109,6 +123,7 @@ ORACLES: dict[str, str] = {
     "sorted_rows": f"SELECT * FROM {ALL_FLAGS} ORDER BY age NULLS FIRST, id",
     "frame_diff": DIFF,
     "frame_diff_all_columns": DIFF_ALL,
+    "frame_diff_digests": DIFF_FEW,
     "job_drive18_drink21": _all(DRIVE_18_DRINK_21),
     "job_drive16_tr": f"SELECT * RENAME (dob AS born) FROM {DRIVE_16}",
     "job_vote18_in_place": _all(VOTE_18),

@@ -91,6 +91,17 @@ def overwrite_in_place_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.join_on(cl.read_table(spark, table), orders(spark, sf_dir), prefix="order_")
 
 
+def overwrite_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table is pointed at its new files, twice: with more columns, then with fewer rows.
+    table = f"{catalog_tables(spark, sf_dir)}.customers"
+    for change in (
+        lambda df: add_flags(df, VOTE_18),
+        lambda df: df.where("segment <> 'MACHINERY'"),
+    ):
+        cl.overwrite_table(change(cl.read_table(spark, table)), table, one_step=True)
+    return cl.read_table(spark, table)
+
+
 def overwrite_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.customers_out"
     cl.overwrite_table(cl.add_age(customers(spark, sf_dir), as_of=AS_OF), table)
@@ -182,6 +193,21 @@ def filter_age_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     return young.select("l_orderkey", "l_linenumber", shipped.alias("dob"))
 
 
+def filter_eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Flags and ages as text; the scan sees both bounds of the stored date.
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("dob"), "l_returnflag"
+    )
+    young = cl.filter_eligible(
+        lines,
+        "age < 21 AND canVote AND NOT canDrink",
+        "l_returnflag <> 'N' OR age = 19",
+        rules=(DRIVE_16, VOTE_18, DRINK_21),
+        as_of=dt.date(2016, 2, 29),
+    )
+    return young.withColumn("dob", F.to_date("dob"))
+
+
 # --- join --------------------------------------------------------------------
 
 
@@ -241,6 +267,13 @@ def frame_diff_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.frame_diff(*drives)
 
 
+def frame_diff_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Nearly equal frames: only rows of buckets that differ are shuffled.
+    drives = add_flags(customers(spark, sf_dir), DRIVE_16)
+    changed = F.when(F.col("id") % 997 == 0, ~F.col("canDrive")).otherwise(F.col("canDrive"))
+    return cl.frame_diff(drives, drives.withColumn("canDrive", changed), digests=4096)
+
+
 # --- standard jobs, read back ------------------------------------------------
 
 
@@ -302,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "overwrite_single_file": overwrite_single_file,
     "overwrite_in_place": overwrite_in_place,
     "overwrite_in_place_bucketed": overwrite_in_place_bucketed,
+    "overwrite_one_step": overwrite_one_step,
     "overwrite_schema_change": overwrite_schema_change,
     "age_years": age_years,
     "age_years_lineitem": age_years_lineitem,
@@ -319,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "filter_column_eq": filter_column_eq,
     "filter_reached_age": filter_reached_age,
     "filter_age_between": filter_age_between,
+    "filter_eligible": filter_eligible,
     "customer_orders_inner": customer_orders_inner,
     "customer_orders_hot_keys": customer_orders_hot_keys,
     "count_rows": count_rows,
@@ -327,5 +362,6 @@ QUERIES: dict[str, Query] = {
     "sorted_rows": sorted_rows,
     "frame_diff": frame_diff,
     "frame_diff_all_columns": frame_diff_all_columns,
+    "frame_diff_digests": frame_diff_digests,
     **{f"job_{name}": run for name, run in JOBS.items()},
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 from operator import or_
@@ -43,7 +44,10 @@ def filter_eligible(
     rules = tuple(rules)
     flagged = add_eligibility(df, rules, dob=dob, as_of=as_of, check=check)
     if not isinstance(as_of, Column):
+        others = {c.lower() for c in df.columns} - {"age", *(r.name.lower() for r in rules)}
         for condition in conditions:
+            if any(re.search(rf"\b{re.escape(c)}\b", str(condition).lower()) for c in others):
+                continue
             bounds = birth_range(df.sparkSession, condition, rules, F.col(f"`{dob}`"), as_of)
             if bounds is not None:
                 df = df.where(bounds)

@@ -112,7 +112,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> dict[Any, int]:
     Fewer than ``1 / share`` keys can do so, which bounds what reaches the
     driver. Reads the key column only, once, into a sketch of fixed size per
     task, so that keys are not shuffled. Counts are exact while there are few
-    different keys, and may be over by a fiftieth of ``share`` else. Keys of types
+    different keys, and may be over by a fifth of ``share`` else. Keys of types
     that the sketch does not take are counted one by one.
     """
     if not 0 < share < 1:
@@ -120,8 +120,8 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> dict[Any, int]:
     most = int(1 / share) + 1
     column = F.col(key).alias("key")
     if isinstance(df.select(column).schema["key"].dataType, _SKETCHED):
-        # At most 4 rows in tracked of the sketch's counts are in doubt.
-        tracked = min(max(10_000, 200 * most), 1_000_000)
+        # A count is over by 4 rows in this many, at most.
+        tracked = min(max(10_000, 20 * most), 1_000_000)
         top = f"approx_top_k(key, {most}, {tracked}) FILTER (WHERE key IS NOT NULL)"
         found = df.select(column).agg(F.expr(top).alias("top"), F.count("*").alias("total")).first()
         counts, total = {x["item"]: x["count"] for x in found["top"] or ()}, found["total"]

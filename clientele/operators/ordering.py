@@ -30,7 +30,8 @@ def sort_rows(df: DataFrame, *keys: Column | str, cut_ties: bool | None = None)
     if not cut_ties:
         return df.orderBy(*order)
     tie = free_name("__tie", df)
-    return df.withColumn(tie, row_hash(df)).orderBy(*order, tie).drop(tie)
+    # Partitions are ranges of key and tie; within them the order of the keys is enough.
+    return df.withColumn(tie, row_hash(df)).repartitionByRange(*order, tie).sortWithinPartitions(*order).drop(tie)
 
 
 def _has_heavy_key(df: DataFrame, order: tuple[Column | str, ...]) -> bool:

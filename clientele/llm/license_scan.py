@@ -1,9 +1,15 @@
 """License texts and notices in documents, by conditional compression.
 
-A candidate block is a run of lines that speak of licenses. Each is compressed by itself
-and with each template as a zstandard raw dictionary; the more a template saves, the more
-of its wording the block has. Templates are then held against the block word by word; where
-several claim the same words, the one that agrees most is reported with the words that differ.
+A candidate block is a run of lines that speak of licenses. It is read in overlapping
+pieces: long ones for license texts, and around each word that names are made of short ones
+for notices. A piece is compressed by itself and with each template as a zstandard raw
+dictionary. A template that saves nothing is out; every one that saves, however little, is
+held against the piece word by word. Where several texts claim the same words, the one that
+agrees most is reported with the words that differ.
+
+The dictionary of a notice has all forms of the license's name. Both ways of compressing a
+short piece begin with one and the same sentence, which both dictionaries have: what a
+first match costs is then paid on both sides, so that a match of a few letters shows.
 """
 
 from __future__ import annotations
@@ -129,15 +135,33 @@ TEXTS: dict[str, str] = {
         " rights to this work."
     ),
 }
+#: Versions of the licenses of one family, and the names of the family.
+FAMILIES: dict[tuple[str, ...], tuple[str, ...]] = {
+    ("GPL-2.0", "GPL-3.0"): ("gpl", "gnu gpl", "gnu general public license", "gnu general public licence"),
+    ("LGPL-2.1", "LGPL-3.0"): ("lgpl", "gnu lgpl", "gnu lesser general public license"),
+    ("AGPL-3.0",): ("agpl", "gnu agpl", "gnu affero general public license"),
+    ("MPL-2.0",): ("mpl", "mozilla public license"),
+    ("EPL-2.0",): ("epl", "eclipse public license"),
+    ("Apache-2.0",): ("apache", "apache license", "apache licence"),
+}
+#: Licenses whose identifier is a word that also stands for other things.
+SHORT = {"mit": "MIT", "isc": "ISC"}
+#: What may stand between a negation and the name that it denies.
+DENIALS = frozenset("not never neither nor".split())
+BETWEEN = frozenset(
+    "licensed released distributed available under the terms of covered by a an any be been being made is to".split()
+)
 #: Words that make the wording of one license that of another.
 TELLING = {"affero", "lesser", "library"}
 #: A part of every name (a test holds all of them against it), and words of the texts.
 CUE = (
     r"(?i)licen[cs]|\bhereby granted|redistribut|\bspdx|creative[^a-z0-9]+commons|\bcc[^a-z0-9]*(by|0)\b|free software"
-    r"|gpl|(?<![a-z0-9])[em]pl(?![a-z0-9])|unencumbered software|waived all copyright|source code form|accompanying materials"
+    r"|gpl|(?<![a-z0-9])(([em]pl|apache)[v0-9]*|bsd)(?![a-z0-9])|unencumbered software|waived all copyright|source code form|accompanying materials"
 )
 _CUE = re.compile(CUE)
 _WORD = re.compile(r"[a-z0-9]+")
+#: The words of names by which pieces are chosen.
+_NAMED = re.compile(r"licen[cs]|gpl|^[em]pl|^apache|^bsd$|^mit$|^isc$|^cc0?$|^commons$")
 _SPDX = re.compile(r"(?i)\bspdx[^a-z0-9]+license[^a-z0-9]+identifier[^a-z0-9]*")
 _SPDX_PART = re.compile(r"(?i)[\s(]*([a-z0-9.+-]+)(?:[\s)]+(or|and|with)\s)?")
 
@@ -156,41 +180,97 @@ def plain_words(text: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Template:
+    """A license text, or the forms of a license's name."""
+
     license: str
     kind: str
     words: tuple[str, ...]
+    forms: tuple[tuple[str, ...], ...] = ()
+
+
+def notice_forms(license: str) -> set[tuple[str, ...]]:
+    """The word sequences that name a license: its names, its identifier, its version behind
+    the names of its family, and a short identifier behind a lead or beside another one."""
+    forms = set(NAMES[license])
+    for licenses, families in FAMILIES.items():
+        if license not in licenses:
+            continue
+        major, minor = license.rpartition("-")[2].split(".")
+        whole = [f"{major} {minor}"] + ([major] if minor == "0" else [])
+        for family in families:
+            forms |= {f"{family} {said}{v}" for v in whole for said in ("", "v", "v ", "version ")}
+            if " " not in family.removeprefix("gnu "):
+                forms |= {f"{family}{said}{v}" for v in whole for said in ("", "v")}
+    own = plain_words(license)
+    if len(own) > 1:
+        forms.add(" ".join(own))
+    for word in (w for w, x in SHORT.items() if x == license):
+        forms |= {f"{lead} {the}{word}" for lead in (*LEADS, "license", "licence") for the in ("", "the ")}
+        others = [w for w in ("apache", "bsd", "gpl", "lgpl", "gplv2", "gplv3", "mpl", *SHORT) if w != word]
+        forms |= {f"{word} {by} {other}" for by in ("or", "and") for other in others}
+        forms |= {f"{end} {by} {word}" for by in ("or", "and") for end in ("2 0", "3 0", "clause", *others)}
+    return {tuple(form.split()) for form in forms}
 
 
 @lru_cache(maxsize=1)
 def templates() -> list[Template]:
-    """One template for each name in a notice, one for each license text."""
-    names = [Template(k, "notice", tuple(n.split())) for k, all_names in NAMES.items() for n in all_names]
-    return names + [Template(k, "text", tuple(plain_words(t))) for k, t in TEXTS.items()]
+    """One template for the notices of each license, one for each license text."""
+    out = []
+    for license in NAMES:
+        forms = tuple(sorted(notice_forms(license)))
+        out.append(Template(license, "notice", tuple(w for form in forms for w in form), forms))
+    return out + [Template(k, "text", tuple(plain_words(t))) for k, t in TEXTS.items()]
 
 
-@lru_cache(maxsize=1)
-def _compressors() -> tuple[zstandard.ZstdCompressor, list[tuple[Template, zstandard.ZstdCompressor]]]:
-    def level(**kwargs) -> zstandard.ZstdCompressor:
-        return zstandard.ZstdCompressor(level=3, write_content_size=False, **kwargs)
+#: Words of a piece and from one to the next, so that a text of up to 256 words is in one whole.
+TEXT_PIECE, TEXT_STEP = 512, 256
+#: Words of a piece that names are looked for in, its steps, and how far from a cue they begin.
+NOTICE_PIECE, NOTICE_STEP, NOTICE_REACH = 8, 1, 8
+_PREFIX = "what follows here is one window of a text"
+
+
+class _Compressor:
+    def __init__(self, kind: str, dictionary: str):
+        self._prefix = f"{_PREFIX} " if kind == "notice" else ""
+        said = f" {dictionary} {self._prefix}".encode()
+        options = zstandard.ZstdCompressionParameters.from_level(19, min_match=3, write_content_size=False)
+        more = {}
+        if dictionary or self._prefix:
+            more["dict_data"] = zstandard.ZstdCompressionDict(said, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        self._tool = zstandard.ZstdCompressor(compression_params=options, **more)
+
+    def size(self, words: list[str]) -> int:
+        return len(self._tool.compress(f"{self._prefix}{' '.join(words)} ".encode()))
 
-    tools = []
-    identifiers = [Template(k, "notice", tuple(plain_words(k))) for k in NAMES]
-    for t in [*templates(), *identifiers]:
+
+@lru_cache(maxsize=1)
+def _compressors() -> dict[Template | str, _Compressor]:
+    tools: dict[Template | str, _Compressor] = {kind: _Compressor(kind, "") for kind in ("notice", "text")}
+    for t in templates():
         said = " ".join(t.words)
         if t.kind == "notice":
-            said = " ".join(f"{lead} the {said}" for lead in LEADS)
-        tools.append((t, level(dict_data=zstandard.ZstdCompressionDict(said.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))))
-    return level(), tools
+            # Shorter forms come last, where a match is cheapest.
+            said = " ".join(" ".join(form) for form in sorted(t.forms, key=lambda x: -len(" ".join(x))))
+        tools[t] = _Compressor(t.kind, said)
+    return tools
 
 
-def ranked_templates(words: list[str]) -> list[tuple[float, Template]]:
-    """All templates with the share of the compressed size that each saves, best first."""
-    alone, tools = _compressors()
-    data = " ".join(words).encode()
-    size = len(alone.compress(data))
-    own = set(templates())
-    found = [((size - len(tool.compress(data))) / size, t) for t, tool in tools if t in own]
-    return sorted(found, key=lambda x: (-x[0], -len(x[1].words), x[1].license))
+def saving(words: list[str], t: Template) -> float:
+    """The share of a piece's compressed size that the template saves as a dictionary."""
+    tools = _compressors()
+    size = tools[t.kind].size(words)
+    return (size - tools[t].size(words)) / size
+
+
+def ranked_templates(words: list[str], kind: str | None = None) -> list[tuple[float, Template]]:
+    """The templates that save something on a piece, with the share that they save, best first."""
+    found = [(saving(words, t), t) for t in templates() if kind in (None, t.kind)]
+    found = [(saved, t) for saved, t in found if saved > 0]
+    return sorted(found, key=lambda x: (-x[0], x[1].kind != "text", -len(x[1].words), x[1].license))
+
+
+def _pieces(n: int, size: int, step: int) -> list[tuple[int, int]]:
+    return [(at, min(at + size, n)) for at in range(0, max(n - size + step, 1), step)]
 
 
 def differences(words: list[str], t: Template) -> tuple[list[str], list[str], float, set[int]]:
@@ -207,73 +287,107 @@ def differences(words: list[str], t: Template) -> tuple[list[str], list[str], fl
 
 
 def recognise(text: str, limits: Limits = Limits()) -> list[tuple[Template, float, list[str], list[str]]]:
-    """The licenses of a block, each once, with what the template saves and what differs."""
+    """The licenses of a block, each once, with what the template saves and what differs. A name
+    that is denied (``not licensed under the ...``) is not reported."""
     words = plain_words(text)
     if not words:
         return []
     out: dict[str, tuple[Template, float, list[str], list[str]]] = {}
-    for t, lacking, between in _texts(words, limits):
-        out.setdefault(t.license, (t, _saved(words, t), lacking, between))
-    for t, piece in [*_cited(words), *_identified(text)]:
-        out.setdefault(t.license, (t, _saved(piece, t), [], []))
+    for t, saved, lacking, between in _texts(words, limits):
+        out.setdefault(t.license, (t, saved, lacking, between))
+    for t, saved in [*_cited(words), *_identified(text)]:
+        out.setdefault(t.license, (t, saved, [], []))
     return list(out.values())
 
 
-def _saved(words: list[str], t: Template) -> float:
-    alone, tools = _compressors()
-    data = " ".join(words).encode()
-    size = len(alone.compress(data))
-    tool = next((tool for own, tool in tools if own == t), alone)
-    return (size - len(tool.compress(data))) / size
-
-
-def _texts(words: list[str], limits: Limits) -> list[tuple[Template, list[str], list[str]]]:
-    """The texts that agree. Of those that claim the same words, the one with the most words
-    in place over those that differ."""
-    has = Counter(words)
+def _texts(words: list[str], limits: Limits) -> list[tuple[Template, float, list[str], list[str]]]:
+    """The texts that agree, of those that save something on a piece. Of those that claim the
+    same words, the one with the most words in place over those that differ."""
     found = []
-    for t in templates():
+    for begin, end in _pieces(len(words), TEXT_PIECE, TEXT_STEP):
+        piece = words[begin:end]
+        has = Counter(piece)
         # No more words can be there in order than are there at all.
-        if t.kind != "text" or (Counter(t.words) & has).total() < limits.agreement * len(t.words):
-            continue
-        lacking, between, share, used = differences(words, t)
-        if share < limits.agreement or any(w.isdigit() for w in lacking) or TELLING & set(between):
-            continue
-        found.append((len(used) - len(lacking) - len(between), len(found), t, lacking, between, used))
+        likely = [
+            t for t in templates()
+            if t.kind == "text" and (Counter(t.words) & has).total() >= limits.agreement * len(t.words)
+        ]
+        for t in likely:
+            saved = saving(piece, t)
+            if saved <= 0:
+                continue
+            lacking, between, share, used = differences(piece, t)
+            if share < limits.agreement or any(w.isdigit() for w in lacking) or TELLING & set(between):
+                continue
+            used = {begin + i for i in used}
+            found.append((len(used) - len(lacking) - len(between), len(found), t, saved, lacking, between, used))
     out, taken = [], set()
-    for *_, t, lacking, between, used in sorted(found, key=lambda x: (-x[0], x[1])):
+    for *_, t, saved, lacking, between, used in sorted(found, key=lambda x: (-x[0], x[1])):
         if 2 * len(used & taken) <= len(used):
-            out.append((t, lacking, between))
+            out.append((t, saved, lacking, between))
             taken |= used
     return out
 
 
-def _cited(words: list[str], around: int = 4) -> list[tuple[Template, list[str]]]:
-    """The names that stand anywhere, in a notice, heading or sentence, with the words around
-    them; a name inside a longer one is not meant."""
-    found = []
+@lru_cache(maxsize=1)
+def _by_first_word() -> dict[str, list[tuple[tuple[str, ...], Template]]]:
+    out: dict[str, list[tuple[tuple[str, ...], Template]]] = {}
     for t in templates():
-        if t.kind == "notice":
-            n = len(t.words)
-            found += [(i, i + n, t) for i in range(len(words) - n + 1) if words[i] == t.words[0] and tuple(words[i : i + n]) == t.words]
-    return [
-        (t, words[max(0, i - around) : j + around])
-        for i, j, t in found
-        if not any(a <= i and j <= b and b - a > j - i for a, b, _ in found)
-    ]
+        for form in t.forms:
+            out.setdefault(form[0], []).append((form, t))
+    return out
 
 
-def _identified(text: str) -> list[tuple[Template, list[str]]]:
+def _cited(words: list[str]) -> list[tuple[Template, float]]:
+    """The names that stand in a piece on which their template saves something, in a notice,
+    heading or sentence; a name inside a longer one is not meant."""
+    n = len(words)
+    pieces: set[tuple[int, int]] = set()
+    for cue in _cue_places(words):
+        # Each name has a cue, and lies whole in several of the pieces around it.
+        for at in range(max(0, cue - NOTICE_REACH), min(cue + 1, n), NOTICE_STEP):
+            pieces.add((at, min(at + NOTICE_PIECE, n)))
+    found: dict[tuple[int, int, Template], float] = {}
+    for begin, end in sorted(pieces):
+        piece = words[begin:end]
+        for saved, t in ranked_templates(piece, "notice"):
+            for i, word in enumerate(piece):
+                for form, own in _by_first_word().get(word, ()):
+                    if own is t and tuple(piece[i : i + len(form)]) == form:
+                        place = begin + i, begin + i + len(form), t
+                        found[place] = max(saved, found.get(place, 0.0))
+    out: dict[Template, float] = {}
+    for (i, j, t), saved in found.items():
+        longer = any(a <= i and j <= b and b - a > j - i for a, b, _ in found)
+        if not longer and not _denied(words, i):
+            out[t] = max(saved, out.get(t, 0.0))
+    return list(out.items())
+
+
+def _cue_places(words: list[str]) -> list[int]:
+    """The words with a part of a name."""
+    return [i for i, word in enumerate(words) if _NAMED.search(word)]
+
+
+def _denied(words: list[str], at: int) -> bool:
+    """Whether a negation stands before the place, with nothing but a lead in between."""
+    while at > 0 and words[at - 1] in BETWEEN:
+        at -= 1
+    return at > 0 and words[at - 1] in DENIALS
+
+
+def _identified(text: str) -> list[tuple[Template, float]]:
     """The licenses of the expressions that follow an SPDX lead."""
     out = []
     for lead in _SPDX.finditer(text):
         at = lead.end()
         while part := _SPDX_PART.match(text, at):
             own = plain_words(part[1])
-            for license in NAMES:
-                name = plain_words(license)
-                if own[: len(name)] == name and own[len(name) :] in ([], ["only"], ["or", "later"]):
-                    out.append((Template(license, "notice", tuple(name)), plain_words(lead[0]) + own))
+            for t in templates():
+                name = plain_words(t.license)
+                if t.forms and own[: len(name)] == name and own[len(name) :] in ([], ["only"], ["or", "later"]):
+                    # The lead says that it is an identifier; what it saves is only told.
+                    out.append((t, max(0.0, saving(plain_words(lead[0]) + own, t))))
             if not part[2]:
                 break
             at = part.end()

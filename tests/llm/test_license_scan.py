@@ -1,5 +1,9 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
+from clientele.llm import license_scan
 from clientele.llm.license_scan import LEADS, NAMES, TEXTS, blocks, plain_words, ranked_templates, recognise, scan
 from tests.llm.data import CLASHES, awkward, nothing
 
@@ -95,3 +99,90 @@ def test_texts_are_not_taken_for_others(license):
 def test_all_texts_of_a_long_block():
     found = {t.license for t, *_ in recognise("\n".join(t for k, t in TEXTS.items() if k != "BSD-2-Clause"))}
     assert found >= set(TEXTS) - {"BSD-2-Clause"}
+
+
+@pytest.mark.parametrize(
+    "said, licenses",
+    [
+        ("licensed under Apache-2.0", {"Apache-2.0"}),
+        ("License: MIT", {"MIT"}),
+        ("GNU GPLv3", {"GPL-3.0"}),
+        ("GPLv2 or later", {"GPL-2.0"}),
+        ("BSD-3-Clause", {"BSD-3-Clause"}),
+        ("MIT or Apache 2.0", {"MIT", "Apache-2.0"}),
+        ("Licensed under the LGPL, version 2.1", {"LGPL-2.1"}),
+        ("GPL-3.0, the AGPL v3 or MPL version 2", {"GPL-3.0", "AGPL-3.0", "MPL-2.0"}),
+        ("This is not licensed under the MIT License.", set()),
+        ("It was never released under the terms of the GNU GPL v2.", set()),
+        ("This is not mine. It is under the MIT License.", {"MIT"}),
+        ("mit dem Auto, the ISC and an apache helicopter", set()),
+    ],
+)
+def test_short_forms_and_denials(spark, said, licenses):
+    docs = [(0, said), (1, f"{PROSE}\n{PROSE * 2}{said} {PROSE}"), (2, PROSE * 3000 + said + " " + PROSE * 3000)]
+    found = {(r["doc_id"], r["license"]) for r in scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert found == {(i, x) for i in range(3) for x in licenses}
+
+
+def brute(text):
+    """Every form of every name at every place, and every text against the whole block."""
+    words, found = plain_words(text), []
+    for t in license_scan.templates():
+        for form in t.forms:
+            found += [(i, i + len(form), t.license) for i in range(len(words)) if tuple(words[i : i + len(form)]) == form]
+    names = {
+        x for i, j, x in found
+        if not license_scan._denied(words, i)
+        and not any(a <= i and j <= b and b - a > j - i for a, b, _ in found)
+    }
+    texts = {}
+    for t in license_scan.templates():
+        if t.kind == "text":
+            lacking, between, share, used = license_scan.differences(words, t)
+            if share >= 0.9 and not any(w.isdigit() for w in lacking) and not license_scan.TELLING & set(between):
+                texts[t.license] = len(used) - len(lacking) - len(between)
+    return names, max(texts, key=texts.get) if texts else None
+
+
+def test_compression_loses_nothing_that_is_there(spark):
+    """On made-up blocks and on the notices of the documents."""
+    rng = random.Random(4)
+    every = [" ".join(form) for t in license_scan.templates() for form in t.forms]
+    blocks_ = []
+    for name in every:
+        pad = [" ".join(rng.choices(PROSE.split(), k=rng.randrange(14))) for _ in range(2)]
+        blocks_.append(f"{pad[0]} {name}, {pad[1]}")
+    blocks_ += [f"{PROSE}{text.replace(' and ', ' or ', k)}{PROSE}" for text in TEXTS.values() for k in range(3)]
+    for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(spark_cue()).collect():
+        lines = row["text"].split("\n")
+        blocks_ += ["\n".join(lines[a : b + 1]) for a, b in blocks(row["text"])]
+    assert len(blocks_) > 400
+    missed = []
+    for text in blocks_:
+        found = {t.license: t.kind for t, *_ in recognise(text)}
+        names, best = brute(text)
+        if not names | ({best} - {None}) <= set(found) or {x for x, kind in found.items() if kind == "notice"} - names - spdx(text):
+            missed.append((text, names, best, found))
+    assert missed == []
+
+
+def spdx(text):
+    return {t.license for t, _ in license_scan._identified(text)}
+
+
+def spark_cue():
+    return F.col("text").rlike(license_scan.CUE)
+
+
+def test_the_ranking_decides(monkeypatch):
+    said = "Licensed under the MIT License. " + TEXTS["ISC"]
+    assert {t.license for t, *_ in recognise(said)} == {"MIT", "ISC"}
+    monkeypatch.setattr(license_scan, "saving", lambda words, t: 0.0)
+    assert recognise(said) == []
+
+
+def test_a_template_saves_on_its_own_wording():
+    for license in TEXTS:
+        ranked = ranked_templates(plain_words(TEXTS[license]), "text")
+        # A longer text with the same wording may save a little more.
+        assert {t.license: saved for saved, t in ranked[:2]}[license] > 0.5

@@ -8,6 +8,10 @@ largest size, so that the containment sought means a similarity that MinHash fin
 Zhang 2012): the smallest hash in each of ``BINS`` bins. An item is a candidate for a
 document if one bin of one window has the item's value.
 
+Items of fewer than ``SHORT`` shingles are a class of their own: too few of their values
+would be the smallest of a bin in each window. All their shingles are their signature, and
+all shingles of a document are looked up, so that none of these items is missed.
+
 Items' bin values go to the tasks as a Bloom filter of fixed size, so that of the windows
 only the values that some item may have are shuffled. Candidates are then confirmed over
 the whole document: the share of the item's distinct shingles that the document has.
@@ -29,6 +33,8 @@ from clientele.llm.scratch import stored, text_key
 WORDS, THRESHOLD, BINS = 5, 0.8, 64
 #: The smallest class holds items of up to this many shingles; each further class twice as many.
 SMALLEST_CLASS = 16
+#: Items of fewer shingles are in this class, of which documents are not read in windows.
+SHORT, SHORT_CLASS = 8, -1
 #: Bits of the Bloom filter: 4 MB, whatever the number of items.
 FILTER_BITS = 1 << 25
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -47,6 +53,8 @@ def shingle_hashes(text: bytes, words: int = WORDS) -> np.ndarray:
 
 def size_class(size: int) -> int:
     """The class of items of that many distinct shingles."""
+    if size < SHORT:
+        return SHORT_CLASS
     return max(0, int(np.ceil(np.log2(max(size, 1) / SMALLEST_CLASS))))
 
 
@@ -63,6 +71,8 @@ def item_keys(hashes: np.ndarray) -> tuple[int, np.ndarray]:
     """The class of an item and its signature's values, at most one for each bin."""
     own = np.unique(hashes)
     kind = size_class(len(own))
+    if kind == SHORT_CLASS:
+        return kind, own
     bins = _bin(own)
     _, first = np.unique(bins, return_index=True)  # own is sorted: the smallest of a bin
     return kind, own[first]
@@ -70,6 +80,8 @@ def item_keys(hashes: np.ndarray) -> tuple[int, np.ndarray]:
 
 def window_values(hashes: np.ndarray, kind: int) -> np.ndarray:
     """The distinct signature values of all windows of a document for a size class."""
+    if kind == SHORT_CLASS:
+        return np.unique(hashes)
     half = SMALLEST_CLASS << kind
     blocks = -(-len(hashes) // half)
     lowest = np.full((blocks + 1, BINS), np.iinfo(np.uint64).max, np.uint64)

@@ -27,10 +27,19 @@ class LineLimits:
     min_documents: int = 20
     max_share: float = 0.10
     min_left: float = 0.30
+    #: A line also goes if more distinct documents of its host than this hold it, whatever
+    #: their share; and on any host if at least so many and more than this share do.
+    always: int | None = None
+    small_documents: int | None = None
+    small_share: float = 0.50
     #: Parts that the rows of one line are dealt over when they look up its frequency.
     spread: int = 64
 
 
+#: For texts from which lines are taken: hot and small hosts have limits of their own.
+TEXT_LIMITS = LineLimits(always=1000, small_documents=5)
+
+
 def with_base(docs: DataFrame, whole: Column, keep: list[Column]) -> DataFrame:
     """The columns but for the text, ``keep`` of it, its statistics and ``base_failed``."""
     names = [c for c in docs.columns if c != "_text"]
@@ -93,10 +102,15 @@ def normalised_line(line: Column) -> Column:
 def boilerplate_lines(lines: DataFrame, hosts: DataFrame, limits: LineLimits) -> DataFrame:
     """``of_host, of_key`` of the lines above the limits. Documents of one text count once."""
     counts = lines.groupBy("host", "line_key").agg(F.countDistinct("text_key").alias("documents"))
-    many = counts.where(F.col("documents") > limits.min_documents)
-    above = F.col("documents") > limits.max_share * F.col("host_documents")
+    n, share = F.col("documents"), F.col("documents") / F.col("host_documents")
+    least, above = n > limits.min_documents, (n > limits.min_documents) & (n > limits.max_share * F.col("host_documents"))
+    if limits.always is not None:
+        least, above = least | (n > limits.always), above | (n > limits.always)
+    if limits.small_documents is not None:
+        least = least | (n >= limits.small_documents)
+        above = above | ((n >= limits.small_documents) & (share > limits.small_share))
     return (
-        many.join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
+        counts.where(least).join(hosts, F.col("host").eqNullSafe(F.col("of_host")))
         .where(above)
         .select("of_host", F.col("line_key").alias("of_key"))
     )
@@ -122,8 +136,9 @@ def _lines(text: Column) -> Column:
     )
 
 
-def _lost(marked: DataFrame, limits: LineLimits) -> DataFrame:
-    """``of_row, lost``: what boilerplate lines take from the rows of ``marked`` that have any."""
+def _lost(marked: DataFrame, limits: LineLimits, *more: Column) -> DataFrame:
+    """``of_row, lost``: what boilerplate lines take from the rows of ``marked`` that have any;
+    and ``more`` of those lines."""
     hosts = marked.groupBy(F.col("host").alias("of_host")).agg(
         F.countDistinct("text_key").alias("host_documents")
     )
@@ -141,7 +156,7 @@ def _lost(marked: DataFrame, limits: LineLimits) -> DataFrame:
             & (F.col("salt") == F.col("of_salt")),
         )
         .groupBy(F.col("row_id").alias("of_row"))
-        .agg(F.sum("chars").alias("lost"))
+        .agg(F.sum("chars").alias("lost"), *more)
     )
 
 
@@ -224,3 +239,70 @@ def keep_good_documents(
         & (F.col("own_key") == F.col("text_key"))
     )
     return passed.join(depleted, same, "left_anti").select("row.*")
+
+
+def drop_boilerplate(
+    docs: DataFrame,
+    limits: LineLimits = TEXT_LIMITS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+) -> DataFrame:
+    """The documents without the lines above the limits, and without the documents that are
+    depleted then; all other columns as they were, ``kept_lines`` and ``lost_lines`` added.
+
+    Lines are told apart as ``quality_report`` does. Lines without a word stay. A null text is
+    an empty one, which is not depleted, and stays null. Documents without a host are one
+    host's; rows that repeat an id, host and text share their result; an empty table gives no
+    rows. Built-in functions only.
+    """
+    own = _texts(docs, id_col, text_col, host_col)
+    marked = stored(
+        own.withColumn("lines", _lines(F.col("_text")))
+        .drop("_text")
+        .withColumn("row_id", F.monotonically_increasing_id()),
+        "host_lines",
+    )
+    lost = _lost(marked, limits, F.collect_set("line_key").alias("_gone"))
+    chars = F.aggregate("lines", F.lit(0).cast("bigint"), lambda n, x: n + x["chars"])
+    keys = {"doc_id": "_of_id", "host": "_of_host", "text_key": "_of_key"}
+    # Stored, so that Spark knows how many there are when it chooses the join.
+    found = stored(
+        marked.join(lost, F.col("row_id") == F.col("of_row"))
+        .select(
+            *[F.col(k).alias(v) for k, v in keys.items()],
+            "_gone",
+            (chars - F.col("lost") < limits.min_left * chars).alias("_depleted"),
+        )
+        .dropDuplicates(list(keys.values())),
+        "boilerplate",
+    )
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    whole = docs.select(
+        row,
+        F.col(id_col).cast("bigint").alias("_own_id"),
+        F.col(host_col).cast("string").alias("_own_host"),
+        text_key(F.col(text_col)).alias("_own_key"),
+    )
+    same = (
+        F.col("_own_id").eqNullSafe(F.col("_of_id"))
+        & F.col("_own_host").eqNullSafe(F.col("_of_host"))
+        & (F.col("_own_key") == F.col("_of_key"))
+    )
+    text = F.col(f"_row.`{text_col}`")
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+    worded = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
+    left = F.filter(
+        lines, lambda x: ~(worded(x) & F.array_contains("_gone", F.xxhash64(normalised_line(x))))
+    )
+    joined = whole.join(found, same, "left").where(~F.coalesce("_depleted", F.lit(False)))
+    joined = joined.select(
+        "_row", F.size(lines).alias("_all"), F.when(F.col("_gone").isNotNull(), left).alias("_left")
+    )
+    text = F.when(F.col("_left").isNull(), text).otherwise(F.array_join("_left", "\n"))
+    kept = F.when(F.col("_left").isNull(), F.col("_all")).otherwise(F.size("_left")).cast("bigint")
+    return joined.select(
+        *[text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns],
+        kept.alias("kept_lines"),
+        (F.col("_all") - kept).cast("bigint").alias("lost_lines"),
+    )

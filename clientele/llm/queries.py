@@ -12,7 +12,7 @@ from clientele.llm.containment import contaminated
 from clientele.llm.gray_index import near_duplicates
 from clientele.llm.license_scan import scan
 from clientele.llm.line_dedup import line_report
-from clientele.llm.line_frequency import quality_report
+from clientele.llm.line_frequency import drop_boilerplate, quality_report
 from clientele.llm.merkle import manifest
 from clientele.llm.packing import pack_documents
 from clientele.llm.pii import find_personal_data
@@ -45,6 +45,10 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_documents(spark, sf_dir)).drop("host", "text_key")
 
 
+def line_frequency_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_boilerplate(_documents(spark, sf_dir)).drop("lang", "n_chars")
+
+
 def op5_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_range_coding": op3_range_coding,
     "op4_line_frequency": op4_line_frequency,
+    "line_frequency_texts": line_frequency_texts,
     "op5_gray_index": op5_gray_index,
     "op6_line_dedup": op6_line_dedup,
     "op7_role_repair": op7_role_repair,
@@ -165,6 +170,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed LEFT JOIN lost USING (doc_id)
 """
 
+LINE_TEXTS = f"""
+WITH docs AS (
+    SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+    SELECT doc_id, source, text, line, i, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS worded,
+        translate(trim(line, {_WHITE}), {_AZ}) AS key,
+        length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars
+    FROM (SELECT *, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM docs)
+), frequent AS (
+    SELECT source, key, count(DISTINCT text) AS n FROM lines WHERE worded GROUP BY source, key
+), hosts AS (
+    SELECT source, count(DISTINCT text) AS host_documents FROM docs GROUP BY source
+), above AS (
+    SELECT source, key FROM frequent JOIN hosts USING (source)
+    WHERE n > 20 AND n > 0.1 * host_documents OR n > 1000 OR n >= 5 AND n > 0.5 * host_documents
+), marked AS (
+    SELECT lines.*, worded AND a.key IS NOT NULL AS gone
+    FROM lines LEFT JOIN above a ON lines.source = a.source AND lines.key = a.key
+)
+SELECT doc_id, source, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
+    count(*) FILTER (NOT gone) AS kept_lines, count(*) FILTER (gone) AS lost_lines
+FROM marked GROUP BY doc_id, source
+HAVING coalesce(sum(chars) FILTER (NOT gone), 0) >= 0.3 * sum(chars)
+"""
+
 OP9 = f"""
 WITH texts AS (
     SELECT 'doc' AS kind, doc_id AS id, text FROM documents
@@ -247,6 +277,7 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 ORACLES: dict[str, str] = {
     "op9_containment": OP9,
     "op4_line_frequency": OP4,
+    "line_frequency_texts": LINE_TEXTS,
     "op6_line_dedup": OP6,
     "op13_bitmap_rank": OP13,
 }

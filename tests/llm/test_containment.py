@@ -84,3 +84,22 @@ def test_empty_tables(spark):
     assert contaminated(awkward(spark), items_of(spark, [])).collect() == []
     assert drop_contaminated(awkward(spark), items_of(spark, [])).count() == awkward(spark).count()
     assert drop_contaminated(nothing(spark), some).collect() == []
+
+
+def test_short_items_are_never_missed(spark):
+    """Items of 1 to 10 words in documents of 4,000, over 20 seeds."""
+    docs, items, expected = [], [], set()
+    for seed in range(20):
+        rng = random.Random(seed)
+        for n in range(1, 11):
+            key = 100 * seed + n
+            item = " ".join(f"i{key}x{k}" for k in range(n))
+            front = rng.randrange(4000)
+            items.append((key, item))
+            # Shorter items than a shingle are found as a text of their own alone.
+            text = item if n < 5 else f"{prose(rng, front)} {item.upper()} {prose(rng, 4000 - front)}"
+            docs.append((key, text))
+            expected.add((key, key, max(1, n - 4), max(1, n - 4)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = contaminated(df, items_of(spark, items)).drop("text_key").collect()
+    assert {tuple(r) for r in found} == expected

@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from clientele.llm.line_frequency import LineLimits, keep_good_documents, quality_report
+from clientele.llm.line_frequency import LineLimits, drop_boilerplate, keep_good_documents, quality_report
 from tests.helpers import plan_of
 from tests.llm.data import awkward, nothing, words
 
@@ -74,3 +74,36 @@ def test_documents_keep_their_columns(spark):
 def test_no_python_in_the_plan(spark):
     for df in (quality_report(awkward(spark)), keep_good_documents(awkward(spark))):
         assert not re.search("Python|Pandas|Arrow", plan_of(df))
+
+
+SITE = "doc_id bigint, text string, source string, extra string"
+
+
+def test_texts_lose_the_lines_above_the_limits(spark):
+    limits = LineLimits(min_documents=3, max_share=0.3, always=12, small_documents=3, small_share=0.5)
+    menu, foot = "Home  | About us", "(c) All Rights Reserved"
+    rows = [(i, f"{menu}\nstory {i} " + "word " * 30 + f"\n\n  {foot.upper()} \nend {i}", "big") for i in range(20)]
+    rows += [(100 + i, f"{menu}\nsmall {i} " + "word " * 30, "small") for i in range(3)]
+    rows += [(200, f"{menu}\n{foot}", "big"), (201, None, "big"), (202, "", None), (0, rows[0][1], "big"), (203, f"{menu} x", "big")]
+    # A line of a hot host that few of its documents share, but many in all.
+    rows += [(1000 + i, ("shared phrase\n" if i < 13 else "") + f"hot {i} and more words of its own", "hot") for i in range(60)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], SITE)
+    found = drop_boilerplate(docs, limits)
+    assert found.columns == [*docs.columns, "kept_lines", "lost_lines"]
+    assert not any(x in plan_of(found) for x in ("Python", "Arrow", "Pandas"))
+    texts = {}
+    for r in found.collect():
+        texts.setdefault(r["doc_id"], []).append((r["text"], r["kept_lines"], r["lost_lines"]))
+    assert texts[5] == [("story 5 " + "word " * 30 + "\n\nend 5", 3, 2)] and len(texts[0]) == 2
+    assert texts[101] == [("small 1 " + "word " * 30, 1, 1)]
+    assert 200 not in texts and texts[201] == [(None, 1, 0)] and texts[202] == [("", 1, 0)]
+    assert texts[203] == [(f"{menu} x", 1, 0)] and texts[1003] == [("hot 3 and more words of its own", 1, 1)]
+    # Without limits of their own, hot and small hosts keep such lines.
+    plain = {r["doc_id"]: r["lost_lines"] for r in drop_boilerplate(docs, LineLimits(min_documents=3, max_share=0.3)).collect()}
+    assert plain[1003] == 0 and plain[101] == 0 and plain[5] == 2
+
+
+def test_texts_of_awkward_and_empty_tables(spark):
+    docs = awkward(spark)
+    assert drop_boilerplate(docs).drop("kept_lines", "lost_lines").exceptAll(docs).isEmpty()
+    assert drop_boilerplate(docs).count() == docs.count() and drop_boilerplate(nothing(spark)).collect() == []

@@ -6,7 +6,8 @@ and the same kinds of data written in other ways and put into the sample's text.
 whole text in overlapping windows. Each place takes its tag from the window where it is
 farthest from an end, the tags of all windows are joined into spans, and spans are
 accepted if they are such data by their digits and do not touch what the patterns found.
-Windows without a digit or an at sign are left out: no accepted span can lie in them.
+Windows without a digit or an at sign are left out: no accepted span can lie in them. Where
+a span reaches the end of the windows that were read, the next ones are read, too.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DIGITS = frozenset("0123456789")
+_WORDS = _LOCAL - frozenset(".%+-")
 _NO_DIGIT = re.compile(r"[^0-9]+")
 _TRIGGER = re.compile(r"[0-9@]|[\[(]at[\])]", re.I)
 #: Data of the same kinds as the patterns do not see it.
@@ -44,11 +47,13 @@ _SYMBOLS = "0123456789@.+-() \n,:/[]_%'\"|"
 
 @dataclass(frozen=True)
 class Training:
-    """The bounds of what the tagger is trained on, and its size."""
+    """The bounds of what the tagger is trained on, and its size: so many documents, of which
+    windows come from the first ``characters``."""
 
     documents: int = 400
+    characters: int = 20_000
     windows: int = 3000
-    rounds: int = 6
+    rounds: int = 8
     hidden: int = 20
     seed: int = 7
 
@@ -222,6 +227,19 @@ def _window_starts(text: str) -> list[int]:
     return starts
 
 
+def open_ends(text: str, tags: dict[int, np.ndarray]) -> list[int]:
+    """The windows not yet read into which a span of a window that was read may go on."""
+    last = max(0, -(-(len(text) - WINDOW) // STRIDE)) * STRIDE
+    more = set()
+    for start, own in tags.items():
+        # Of the half that no other window reads, the place next to the edge.
+        if start < last and start + STRIDE not in tags and own[WINDOW - 1] > 0:
+            more.add(start + STRIDE)
+        if start > 0 and start - STRIDE not in tags and own[0] > 0:
+            more.add(start - STRIDE)
+    return sorted(more)
+
+
 def _accepted(kind: str, text: str) -> bool:
     digits = _NO_DIGIT.sub("", text)
     if kind == "card":
@@ -270,6 +288,12 @@ def added_spans(
             start += 1
         while start < end and not text[end - 1].isalnum():
             end -= 1
+        # A span does not end inside a word or number.
+        part = _WORDS if kind == "email" else _DIGITS
+        while 0 < start < end and text[start - 1] in part:
+            start -= 1
+        while start < end < len(text) and text[end] in part:
+            end += 1
         if start < end and all(e <= start or s >= end for s, e in busy) and _accepted(kind, text[start:end]):
             out.append((kind, start, end))
             busy.append((start, end))
@@ -307,8 +331,7 @@ def find_personal_data(
     own = F.xxhash64("doc_id", "text")
     last = chosen.select(own.alias("h")).orderBy("h").limit(training.documents).agg(F.max("h")).first()[0]
     sample = chosen.where(own <= F.lit(last)).limit(training.documents) if last is not None else chosen
-    # The first characters of a sampled text are enough to train on.
-    rows = sample.select(own.alias("h"), F.substring("text", 1, 20_000).alias("text")).collect()
+    rows = sample.select(own.alias("h"), F.substring("text", 1, training.characters).alias("text")).collect()
     texts = [r["text"] for r in sorted(rows, key=lambda r: (r["h"], r["text"]))]
     shared = spark.sparkContext.broadcast(train_tagger(texts, training).parameters)
 
@@ -327,17 +350,20 @@ def find_personal_data(
                 held.clear()
                 windows.clear()
 
-            for i, text in enumerate(texts):
-                for start in _window_starts(text):
+            wanted = [(i, start) for i, text in enumerate(texts) for start in _window_starts(text)]
+            while wanted:
+                for i, start in wanted:
                     window = np.full(WINDOW, _PAD, np.uint8)
-                    piece = symbols(text[start : start + WINDOW])
+                    piece = symbols(texts[i][start : start + WINDOW])
                     window[: len(piece)] = piece
                     held.append((i, start))
                     windows.append(window)
                     if len(held) == _AT_ONCE:
                         decode()
-            if held:
-                decode()
+                if held:
+                    decode()
+                read = dict.fromkeys(i for i, _ in wanted)
+                wanted = [(i, start) for i in read for start in open_ends(texts[i], tags[i])]
             rows = []
             for doc_id, text, own, found in zip(batch.column(0).to_pylist(), texts, base, tags):
                 counts = [sum(k == kind for k, _, _ in own) for kind in KINDS]

@@ -127,3 +127,41 @@ def test_documents(spark):
         assert set(pii.joined(own).split(",")) <= set(row["spans"].split(","))
     assert find_personal_data(awkward(spark), training=small).count() == awkward(spark).count()
     assert find_personal_data(nothing(spark), training=small).collect() == []
+
+
+def test_disguised_data_in_whole_documents(spark):
+    """Data that no pattern sees, put anywhere into each document of a table."""
+    rng = np.random.default_rng(5)
+    docs, planted = [], {}
+    for row in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect():
+        text, kind = row["text"], KINDS[row["doc_id"] % len(KINDS)]
+        put, cut = pii._disguised(kind, rng), int(rng.integers(0, max(1, len(text))))
+        while cut and text[cut - 1].strip():
+            cut -= 1
+        docs.append((row["doc_id"], text[:cut] + put + " " + text[cut:]))
+        planted[row["doc_id"]] = kind, cut, cut + len(put)
+    hits = dict.fromkeys(KINDS, 0)
+    added = right = 0
+    texts = dict(docs)
+    for row in find_personal_data(spark.createDataFrame(docs, "doc_id bigint, text string")).collect():
+        base = set(pii.joined(base_spans(texts[row["doc_id"]])).split(","))
+        every = [x for x in row["spans"].split(",") if x]
+        kind, start, end = planted[row["doc_id"]]
+        hits[kind] += f"{kind}:{start}:{end}" in every
+        for x in (x.split(":") for x in every if x not in base):
+            added += 1
+            right += int(x[1]) < end and int(x[2]) > start
+    assert sum(hits.values()) >= 0.9 * len(docs) and min(hits.values()) >= 0.85 * len(docs) / 4
+    assert right >= 0.98 * added
+
+
+def test_windows_are_read_on_while_a_span_goes_on():
+    text = "x" * 400
+    tags = {96: np.zeros(pii.WINDOW, np.int8), 128: np.zeros(pii.WINDOW, np.int8)}
+    assert pii.open_ends(text, tags) == []
+    tags[128][-5:] = 2
+    assert pii.open_ends(text, tags) == [160]
+    tags[96][0] = 2
+    assert pii.open_ends(text, tags) == [64, 160]
+    # The last window of a text has none behind it.
+    assert pii.open_ends("x" * 192, {128: np.full(pii.WINDOW, 2, np.int8)}) == [96]

@@ -1,4 +1,8 @@
-from clientele.llm.site_tree import extract, parse
+import math
+import random
+
+from clientele.llm import site_tree
+from clientele.llm.site_tree import Importance, branch_importance, extract, parse, parse_blocks
 from tests.llm.data import CLASHES
 
 SCHEMA = "page_id bigint, url string, html string, " + ", ".join(f"{c} string" for c in CLASHES)
@@ -72,3 +76,65 @@ def test_nulls_repeats_and_no_rows(spark):
     found = sorted(extract(pages(spark, rows)).collect(), key=str)
     assert [(r["page_id"], r["n_chars"]) for r in found] == [(1, 1), (1, 1), (2, 0), (3, 400_002), (None, 0)]
     assert extract(pages(spark, [])).collect() == []
+
+
+def main_text(spark, page):
+    return extract(pages(spark, [(1, "https://one.example/", page)])).first()["text"]
+
+
+def test_pages_keep_all_of_their_text(spark):
+    story = "The main text of the page goes on and on. " * 5
+    cases = {
+        f"<article class='card'><p>Teaser</p></article><div class='story'>{story}</div>": "Teaser\n" + story.strip(),
+        "<main><article>First</article><p>Second part</p></main>": "First\nSecond part",
+        f"<div class='notice-board'>{story}</div><p>More</p>": story.strip() + "\nMore",
+        f"<div class='article-header'><h1>Title</h1></div><p>{story}</p>": "Title\n" + story.strip(),
+        f"<article><p>{story}</p><div class='related-work'>Others did more.</div></article>": story.strip() + "\nOthers did more.",
+        f"<div class='ad-slot'>Buy</div><div id='site-header'>Site</div><p>{story}</p><section class=comments>{story * 30}</section>": story.strip(),
+        f"<div class='widget'><p>{story}</p></div><p>by</p>": story.strip() + "\nby",
+        f"<nav>{story * 9}</nav><form>{story * 9}</form><p>Short</p>": "Short",
+    }
+    for page, text in cases.items():
+        assert main_text(spark, page) == text, page
+
+
+def test_menus_without_telling_tags_go_by_the_tree(spark):
+    menu = "<div class=x1><span>Home</span> <span>World</span></div><div class=x1>Sport</div>"
+    rows = [(i, f"https://m.example/{i}", f"<body>{menu}<nav>Menu</nav><div class=y>Story {i} of {i * 31}</div><p class=z>All rights</p></body>") for i in range(40)]
+    for r in extract(pages(spark, rows)).collect():
+        assert r["text"] == f"Story {r['page_id']} of {r['page_id'] * 31}"
+        # The menu in nav is the same on all pages, too, and goes by the tree before its tag.
+        assert (r["by_tree"], r["by_tag"], r["by_word"]) == (4, 0, 0)
+
+
+def test_importance_by_brute_force(spark):
+    rng = random.Random(3)
+    limits = Importance(pages=5)
+    rows = []
+    for i in range(60):
+        body = "".join(f"<{t} class=c{rng.randrange(3)}>{rng.choice(['same', f'own {i}', rng.choice('abcd')])}</{t}>" for t in rng.choices(["p", "div", "h2"], k=rng.randrange(1, 6)))
+        rows.append((i, f"https://h{i % 2}.example/{i}", f"<body><div id=x>menu {i % 3}</div>{body}<footer>foot</footer></body>"))
+    chosen = pages(spark, rows).select("page_id", "url", "html")
+    parsed = chosen.mapInArrow(site_tree._parse_rows, site_tree._PARSED_SQL)
+    found = {r["path"]: (r["m"], r["importance"]) for r in branch_importance(parsed, limits).collect()}
+    shown, said, seen = {}, {}, set()
+    for _, url, page in rows:
+        blocks, nodes = parse_blocks(page, url.split("/")[2])
+        key = url.split("/")[2], "\n".join(b.text for b in blocks if b.noise == 0)
+        for path, style in nodes.items():
+            shown.setdefault(path, {}).setdefault(style, set()).add(key[1])
+        for b in blocks:
+            for path in b.paths:
+                said.setdefault(path, {}).setdefault((b.paths[-1], b.text), set()).add(key[1])
+    expected = {}
+    for path, styles in shown.items():
+        m = sum(map(len, styles.values()))
+        if m < limits.pages or path not in said:
+            continue
+        presentation = -sum(len(x) / m * math.log(len(x) / m, m) for x in styles.values())
+        content = 1 - min(1, sum(math.log(len(x), m) for x in said[path].values()) / len(said[path]))
+        fade = limits.fade ** len(styles)
+        expected[path] = m, (1 - fade) * presentation + fade * content
+    assert set(found) == set(expected) and len(found) > 10
+    for path, (m, value) in expected.items():
+        assert found[path][0] == m and abs(found[path][1] - value) < 1e-9

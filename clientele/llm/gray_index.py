@@ -1,10 +1,12 @@
 """Near duplicates by SimHash, with a hierarchical index in Gray order.
 
-Fingerprints within ``RADIUS`` = 4 bits agree on at least one of five segments. For each
-segment the fingerprints are rotated so that it comes first and sorted by Gray rank, where
-neighbours differ in few bits. The levels of the index are
+Fingerprints within ``RADIUS`` = 4 bits agree on at least one of five segments, on two of six,
+on three of seven. For each such choice of segments the fingerprints' bits are moved so that
+these come first, and sorted by Gray rank, where neighbours differ in few bits. The more
+fingerprints there are, the more segments are chosen and the longer is what a node's
+members share (``layout_for``), so that nodes do not grow with the corpus. The levels of the index are
 
-* nodes: all fingerprints with the same bits in the segment, the mask of the top level;
+* nodes: all fingerprints with the same bits in these segments, the mask of the top level;
 * blocks of at most ``BLOCK`` neighbours of a node, with the mask of the bits that all of
   them share and the pattern there;
 * groups of ``GROUP`` neighbours of a block, with a mask and pattern of their own.
@@ -17,7 +19,9 @@ the blocks of cut or large nodes are paired by a join.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from dataclasses import dataclass
+from functools import partial
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +34,47 @@ from clientele.llm.components import connected_components
 from clientele.llm.scratch import stored, text_key
 
 RADIUS, BLOCK, GROUP = 4, 2048, 32
-#: Bits of the five segments, which make up the 64.
-SEGMENTS = (13, 13, 13, 13, 12)
 _SIGN = np.uint64(1 << 63)
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Segments of the 64 bits, from the highest on. A table for each choice of all but
+    ``RADIUS`` of them has their bits first, then the others'."""
+
+    widths: tuple[int, ...]
+
+    @property
+    def tables(self) -> list[tuple[int, ...]]:
+        return list(combinations(range(len(self.widths)), len(self.widths) - RADIUS))
+
+    def prefix(self, table: int) -> int:
+        """The number of bits that a node of the table shares."""
+        return sum(self.widths[i] for i in self.tables[table])
+
+    def moves(self, table: int) -> list[tuple[int, int, int]]:
+        """For each segment the places of its lowest bit before and after, and its width."""
+        chosen = self.tables[table]
+        out, to = [], 64
+        for i in (*chosen, *(i for i in range(len(self.widths)) if i not in chosen)):
+            to -= self.widths[i]
+            out.append((64 - sum(self.widths[: i + 1]), to, self.widths[i]))
+        return out
+
+
+LAYOUTS = tuple(
+    Layout(tuple(64 // n + (i < 64 % n) for i in range(n))) for n in range(RADIUS + 1, RADIUS + 5)
+)
+
+
+def layout_for(n: int) -> Layout:
+    """The fewest segments at which ``n`` fingerprints fill nodes of a block on average."""
+    for layout in LAYOUTS:
+        if n >> min(map(layout.prefix, range(len(layout.tables)))) < BLOCK:
+            return layout
+    return LAYOUTS[-1]
+
+
 # --- fingerprints ------------------------------------------------------------
 
 
@@ -88,10 +128,12 @@ def _gray_rank(bits: Column) -> Column:
     return bits.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def _rotated(bits: Column, by: int) -> Column:
-    if not by:
-        return bits
-    return F.shiftleft(bits, by).bitwiseOR(F.shiftrightunsigned(bits, 64 - by))
+def _moved(bits: Column, layout: Layout, table: int) -> Column:
+    out = F.lit(0).cast("bigint")
+    for before, after, width in layout.moves(table):
+        part = F.shiftrightunsigned(bits, before).bitwiseAND((1 << width) - 1)
+        out = out.bitwiseOR(F.shiftleft(part, after))
+    return out
 
 
 def shared_bits(groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,17 +212,18 @@ _OUT_SQL = (
 )
 
 
-def _unrotate(x: np.ndarray, segment: int) -> np.ndarray:
-    by = sum(SEGMENTS[:segment])
-    if by:
-        x = (x >> np.uint64(by)) | (x << np.uint64(64 - by))
-    return x.view(np.int64)
+def _moved_back(x: np.ndarray, layout: Layout, table: int) -> np.ndarray:
+    out = np.zeros(len(x), np.uint64)
+    for before, after, width in layout.moves(table):
+        out |= (x >> np.uint64(after) & np.uint64((1 << width) - 1)) << np.uint64(before)
+    return out.view(np.int64)
 
 
 class _Writer:
     """Collects links and blocks of one task."""
 
-    def __init__(self) -> None:
+    def __init__(self, layout: Layout) -> None:
+        self.layout = layout
         self.links: list[np.ndarray] = []
         self.blocks: list[tuple] = []
 
@@ -190,7 +233,7 @@ class _Writer:
             a, b = block_links(x)
             if len(a):
                 a, b = chained(a, b, len(x))
-                self.links.append(np.stack([_unrotate(x[a], segment), _unrotate(x[b], segment)]))
+                self.links.append(np.stack([_moved_back(y, self.layout, segment) for y in (x[a], x[b])]))
         if outer:
             mask, pattern = (int(v.view(np.int64)) for v in shared_bits(x))
             first = int((ranks[:1] ^ _SIGN).view(np.int64)[0])
@@ -209,17 +252,18 @@ class _Writer:
         self.links, self.blocks = [], []
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _build(layout: Layout, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut the sorted ranks of a part into nodes and blocks; links within blocks, and the
     blocks that have others of their node."""
-    out = _Writer()
+    out = _Writer(layout)
+    prefixes = np.array([layout.prefix(i) for i in range(len(layout.tables))], np.uint64)
     now: tuple[int, int] | None = None
     held, outer = np.empty(0, np.uint64), True
 
     for batch in batches:
         segments = batch.column(0).to_numpy()
         ranks = batch.column(1).to_numpy().view(np.uint64) ^ _SIGN
-        widths = np.array(SEGMENTS, np.uint64)[segments]
+        widths = prefixes[segments]
         nodes = (ranks >> (np.uint64(64) - widths)).astype(np.int64)
         starts = np.flatnonzero(
             np.concatenate([[True], (nodes[1:] != nodes[:-1]) | (segments[1:] != segments[:-1])])
@@ -243,7 +287,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out.batches()
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(layout: Layout, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
         for segment, left, right in zip(*(c.to_pylist() for c in batch.columns)):
@@ -251,23 +295,25 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = block_links(x, y)
             if len(a):
                 a, b = chained(a, b + len(x), len(x) + len(y))
-                both = _unrotate(np.concatenate([x, y]), segment)
+                both = _moved_back(np.concatenate([x, y]), layout, segment)
                 found.append(np.stack([both[a], both[b]]))
         a, b = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, layout: Layout | None = None) -> DataFrame:
     """Links (``a``, ``b``) between the distinct fingerprints of column ``fp`` that connect
     all those at most ``RADIUS`` bits apart, directly or through others as near."""
-    tables, by = [], 0
-    for segment, width in enumerate(SEGMENTS):
-        rank = _gray_rank(_rotated(F.col("fp"), by))
-        tables.append(F.struct(F.lit(segment).alias("segment"), rank.alias("rank")))
-        by += width
-    ranks = distinct.select(F.inline(F.array(*tables)))
+    layout = layout or layout_for(distinct.count())
+    tables = [
+        F.struct(F.lit(table).alias("segment"), _moved(F.col("fp"), layout, table).alias("moved"))
+        for table in range(len(layout.tables))
+    ]
+    # The rank names its bits many times over; they are a column by then.
+    moved = distinct.select(F.inline(F.array(*tables)))
+    ranks = moved.select("segment", _gray_rank(F.col("moved")).alias("rank"))
     ordered = ranks.repartitionByRange("segment", "rank").sortWithinPartitions("segment", "rank")
-    index = stored(ordered.mapInArrow(_build, _OUT_SQL), "index")
+    index = stored(ordered.mapInArrow(partial(_build, layout), _OUT_SQL), "index")
     blocks = index.where("data IS NOT NULL").drop("a", "b")
     left = blocks.select(*[F.col(c).alias(f"l_{c}") for c in blocks.columns])
     apart = F.bit_count(
@@ -282,7 +328,7 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
         & (apart <= RADIUS),
     ).select("segment", "l_data", "data")
     width = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    across = pairs.repartition(width).mapInArrow(_compare, "a bigint, b bigint")
+    across = pairs.repartition(width).mapInArrow(partial(_compare, layout), "a bigint, b bigint")
     return index.where("a IS NOT NULL").select("a", "b").union(across)
 
 

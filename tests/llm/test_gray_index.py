@@ -97,3 +97,30 @@ def test_awkward_documents(spark):
 def test_empty_table(spark):
     assert near_duplicates(nothing(spark)).collect() == []
     assert keep_one_of_each(nothing(spark)).collect() == []
+
+
+@pytest.mark.parametrize("layout", gray_index.LAYOUTS)
+def test_all_layouts_link_the_same(spark, monkeypatch, layout):
+    x = clustered(600, 9)
+    monkeypatch.setattr(gray_index, "BLOCK", 64)
+    assert sum(layout.widths) == 64
+    for table in range(len(layout.tables)):
+        y = np.array([sum((int(v) >> a & (1 << w) - 1) << b for a, b, w in layout.moves(table)) for v in x], np.uint64)
+        assert (gray_index._moved_back(y, layout, table).view(np.uint64) == x).all()
+    df = spark.createDataFrame([(v,) for v in x.view(np.int64).tolist()], "fp bigint")
+    links = {(r["a"], r["b"]) for r in fingerprint_links(df, layout).collect()}
+    index = {v: i for i, v in enumerate(x.view(np.int64).tolist())}
+    linked = {(index[a], index[b]) for a, b in links} | {(index[b], index[a]) for a, b in links}
+    near = {(a, b) for a, b in pairs(x, x) if a != b}
+    assert groups(len(x), lambda a, b: (a, b) in linked) == groups(len(x), lambda a, b: (a, b) in near)
+
+
+def test_nodes_do_not_grow_with_the_corpus():
+    rng = np.random.default_rng(2)
+    for n in (10**5, 10**6, 10**7):
+        layout = gray_index.layout_for(n)
+        bits = layout.prefix(0)
+        sizes = np.unique(rng.integers(0, 1 << 63, n, np.uint64) >> np.uint64(63 - bits), return_counts=True)[1]
+        # Fingerprints that one is held against in a table, at most about a block.
+        assert (sizes.astype(float) ** 2).sum() / n < 1.5 * gray_index.BLOCK
+    assert [len(gray_index.layout_for(n).widths) for n in (10**5, 10**7, 10**9, 10**11, 10**13)] == [5, 6, 6, 7, 8]

@@ -295,7 +295,8 @@ def drop_boilerplate(
     left = F.filter(
         lines, lambda x: ~(worded(x) & F.array_contains("_gone", F.xxhash64(normalised_line(x))))
     )
-    joined = whole.join(found, same, "left").where(~F.coalesce("_depleted", F.lit(False)))
+    # Sorted and merged at every size: the list is as long as the corpus makes it.
+    joined = whole.join(found.hint("merge"), same, "left").where(~F.coalesce("_depleted", F.lit(False)))
     joined = joined.select(
         "_row", F.size(lines).alias("_all"), F.when(F.col("_gone").isNotNull(), left).alias("_left")
     )

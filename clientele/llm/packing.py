@@ -23,6 +23,8 @@ from clientele.llm.scratch import stored
 from clientele.llm.tokens import END_ID, encoder
 
 CAPACITY = 1024
+#: Counts of one length in one part that are broadcast, at most.
+BROADCAST_ROWS = 200_000
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 _RANKED = pa.schema(
     [
@@ -149,11 +151,15 @@ def token_pieces(
     return stored(chosen.mapInArrow(cut, f"{PIECES}, part int, nth bigint"), "pieces")
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Place the pieces of ``token_pieces`` in sequences of at most ``capacity`` tokens."""
+def pack(pieces: DataFrame, capacity: int = CAPACITY, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Place the pieces of ``token_pieces`` in sequences of at most ``capacity`` tokens.
+
+    Up to ``broadcast_rows`` counts of a length in a part are broadcast, so that pieces do
+    not move; more are joined by a sort of the pieces by length and part.
+    """
     by_part = pieces.groupBy("length", "part").count()
     by_part = stored(by_part, "lengths")
-    histogram = by_part.groupBy("length").agg(F.sum("count").alias("n")).collect()
+    histogram = by_part.groupBy("length").agg(F.sum("count").alias("n"), F.count("*").alias("parts")).collect()
     plan = best_fit_plan([(r["length"], r["n"]) for r in histogram], capacity)
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select(
@@ -161,6 +167,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         F.col("part").alias("of_part"),
         F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"),
     )
+    # The counts are known by now, so the join need not go by the size of a compressed file.
+    few = sum(r["parts"] for r in histogram) <= broadcast_rows
+    before = F.broadcast(before) if few else before.hint("merge")
     joined = pieces.join(
         before, (F.col("length") == F.col("of_length")) & (F.col("part") == F.col("of_part"))
     )

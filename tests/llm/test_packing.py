@@ -6,8 +6,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clientele.llm.packing import OpenBins, best_fit_plan, pack_documents
+from clientele.llm.packing import OpenBins, best_fit_plan, pack, pack_documents, token_pieces
 from clientele.llm.tokens import encoder
+from clientele.operators.plan_text import plan_text
 from tests.llm.data import awkward, crc, nothing, tokens
 
 
@@ -101,5 +102,12 @@ def test_awkward_documents(spark):
     assert len(filled) == plain_best_fit([r["length"] for r in rows], 1024) >= -(-total // 1024)
 
 
+def test_many_counts_are_joined_without_a_broadcast(spark):
+    pieces = token_pieces(awkward(spark))
+    few, many = pack(pieces), pack(pieces, broadcast_rows=0)
+    assert "Broadcast" in plan_text(few) and "Broadcast" not in plan_text(many)
+    assert sorted(map(repr, many.collect())) == sorted(map(repr, few.collect()))
+
+
 def test_empty_table(spark):
     assert pack_documents(nothing(spark)).collect() == []

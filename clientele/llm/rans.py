@@ -33,6 +33,8 @@ from clientele.llm.tokens import END_ID, encoder
 BLOCK, LANES = 16384, 32
 #: Tokens after which a segment ends with the document, and tokens for one output part.
 SEGMENT, PART = 1 << 20, 8_000_000
+#: Rows of the parts' sizes that are broadcast, at most.
+BROADCAST_ROWS = 200_000
 _LOW = np.uint64(1 << 31)
 _HEAD = struct.Struct("<4sQIII")
 _SEGMENTS = pa.schema(
@@ -252,14 +254,14 @@ def encode_documents(
     ).write.option("compression", "uncompressed").parquet(f"{path}/segments")
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per document of a corpus: its id, the number of ids before it, its own number of ids,
     and their CRC-32, all from the decoded and checked blocks."""
     rows = spark.read.parquet(f"{path}/frequencies").collect()
     segments = spark.read.parquet(f"{path}/segments")
-    by_part = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    # One row per part of the corpus, that is for each 8 million tokens, so this can be sorted
-    # by one task and broadcast.
+    # One row for each 8 million tokens, so that one task can sort them. Up to ``broadcast_rows``
+    # they are broadcast, and segments stay where they are; more are joined by part.
+    by_part = stored(segments.groupBy("part").agg(F.sum("n_tokens").alias("n")), "parts")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = by_part.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     table = sorted((r["token"], r["freq"]) for r in rows)
@@ -280,7 +282,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(c, pa.int64()) for c in columns], schema=_READ
                 )
 
-    placed = segments.join(F.broadcast(before), "part").select(
+    before = F.broadcast(before) if by_part.count() <= broadcast_rows else before.hint("merge")
+    placed = segments.join(before, "part").select(
         (F.col("before") + F.col("first_token")).alias("start"), "doc_ids", "sizes", "data"
     )
     return placed.mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

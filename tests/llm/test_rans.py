@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from clientele.llm import rans
 from clientele.llm.rans import Frequencies, decode_blocks, encode_blocks, encode_documents, read_documents
 from clientele.llm.scratch import scratch_path
+from clientele.operators.plan_text import plan_text
 from tests.llm.data import awkward, crc, nothing, tokens
 
 
@@ -68,6 +69,14 @@ def test_awkward_documents(spark):
     assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows), key=key) == sorted(expected, key=key)
 
 
+def test_many_parts_are_joined_without_a_broadcast(spark):
+    path = scratch_path(spark, "corpus")
+    encode_documents(awkward(spark), path)
+    few, many = read_documents(spark, path), read_documents(spark, path, broadcast_rows=0)
+    assert "Broadcast" in plan_text(few) and "Broadcast" not in plan_text(many)
+    assert sorted(map(repr, many.collect())) == sorted(map(repr, few.collect()))
+
+
 def test_empty_table(spark):
     path = scratch_path(spark, "corpus")
     encode_documents(nothing(spark), path)

@@ -13,8 +13,9 @@ would be the smallest of a bin in each window. All their shingles are their sign
 all shingles of a document are looked up, so that none of these items is missed.
 
 Items' bin values go to the tasks as a Bloom filter of fixed size, so that of the windows
-only the values that some item may have are shuffled. Candidates are then confirmed over
-the whole document: the share of the item's distinct shingles that the document has.
+only the values that some item may have are shuffled. So do all their shingles, so that
+candidates carry those of the document that some item may have. Candidates are then
+confirmed over the whole document: the share of the item's distinct shingles that it has.
 """
 
 from __future__ import annotations
@@ -119,8 +120,8 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, words: int) -> Data
     return chosen.mapInArrow(rows, "item_id bigint, kind int, keys array<bigint>, shingles array<bigint>")
 
 
-def _bloom_filter(items: DataFrame) -> np.ndarray:
-    """The filter over all keys. Words of it are combined by Spark; its size is fixed."""
+def _bloom_filter(items: DataFrame, column: str) -> np.ndarray:
+    """The filter over all values in the column's lists. Words of it are combined by Spark; its size is fixed."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(FILTER_BITS // 64, np.uint64)
@@ -132,7 +133,7 @@ def _bloom_filter(items: DataFrame) -> np.ndarray:
             [pa.array(used), pa.array(bits[used].view(np.int64))], ["at", "bits"]
         )
 
-    keys = items.select(F.explode("keys").alias("key"))
+    keys = items.select(F.explode(column).alias("key"))
     combined = keys.mapInArrow(words, "at bigint, bits bigint").groupBy("at").agg(
         F.bit_or("bits").alias("bits")
     )
@@ -142,6 +143,13 @@ def _bloom_filter(items: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def _inside(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The keys that the filter may hold."""
+    at = _positions(keys)
+    found = bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
+    return keys[found.all(axis=1)]
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -164,10 +172,10 @@ def contaminated(
     spark = docs.sparkSession
     items = stored(_items(benchmark, item_col, item_text_col, words), "items")
     kinds = sorted(r["kind"] for r in items.select("kind").distinct().collect())
-    shared = spark.sparkContext.broadcast(_bloom_filter(items))
+    shared = spark.sparkContext.broadcast([_bloom_filter(items, x) for x in ("keys", "shingles")])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        some_key, some_shingle = shared.value
         for batch in slices(batches):
             rows, keys, all_shingles = [], [], []
             for i, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
@@ -175,13 +183,11 @@ def contaminated(
                 if not len(hashes):
                     continue
                 near = np.concatenate([_keys(k, window_values(hashes, k)) for k in kinds])
-                at = _positions(near)
-                inside = bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
-                near = near[inside.all(axis=1)]
+                near = _inside(some_key, near)
                 if len(near):
                     rows.append(i)
                     keys.append(near)
-                    all_shingles.append(np.unique(hashes).view(np.int64))
+                    all_shingles.append(np.unique(_inside(some_shingle, hashes.view(np.int64))))
             took = batch.take(pa.array(rows, pa.int64()))
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (keys, all_shingles)]
             yield pa.RecordBatch.from_arrays(
@@ -207,8 +213,8 @@ def contaminated(
     candidates = (
         found.select("doc_id", "text_key", F.explode("keys").alias("key"))
         .join(by_key, F.col("key") == F.col("item_key"))
-        .groupBy("doc_id", "text_key")
-        .agg(F.collect_set("item_id").alias("item_ids"))
+        .select("doc_id", "text_key", "item_id")
+        .distinct()
     )
     same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
     pairs = (
@@ -218,7 +224,7 @@ def contaminated(
             ).dropDuplicates(["own_id", "own_key"]),
             same,
         )
-        .select("doc_id", "text_key", F.explode("item_ids").alias("item_id"), "shingles")
+        .select("doc_id", "text_key", "item_id", "shingles")
         .join(
             items.select(F.col("item_id").alias("of_item"), F.col("shingles").alias("item_shingles")).distinct(),
             F.col("item_id") == F.col("of_item"),

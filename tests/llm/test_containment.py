@@ -103,3 +103,15 @@ def test_short_items_are_never_missed(spark):
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     found = contaminated(df, items_of(spark, items)).drop("text_key").collect()
     assert {tuple(r) for r in found} == expected
+
+
+def test_items_that_share_a_passage(spark):
+    """Items and documents with one passage in common are all candidates for each other."""
+    rng = random.Random(5)
+    passage = prose(rng, 12)
+    items = [(i, f"{passage} {prose(rng, i % 7)}".strip()) for i in range(40)]
+    docs = [(k, f"{prose(rng, 900)} {items[k % 40][1]} {prose(rng, 40 * k)}") for k in range(60)]
+    found = contaminated(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), items_of(spark, items)
+    ).drop("text_key")
+    assert set(map(tuple, found.collect())) == plain(docs, items)

@@ -1,12 +1,13 @@
 """Removal of lines that occur in several documents, by sorted line hashes.
 
 1. Each document gives one row per distinct line key: the key's 128-bit hash, the document,
-   and the positions of its lines. Texts stay where they are.
+   and the positions of its lines, without the texts.
 2. The rows are range-partitioned by hash, then document, and sorted; a key that very many
    documents hold is cut between documents. Each task streams its rows and passes on all
    but the first document of a key. The key that a part begins with may have begun in the
    part before; its rows are settled with the first rows of all parts.
-3. The positions that were passed on become one compressed bitmap per document.
+3. The positions that were passed on become one compressed bitmap per document. Only whoever
+   asks for texts joins them with these, which shuffles the texts once if there are many.
 """
 
 from __future__ import annotations

@@ -65,7 +65,9 @@ class Encoder:
         """Whether the ids stay the same with the mark beside the piece."""
         if self._mark is None or not piece or piece[-1].isspace() or _MARK in piece:
             return False
-        if not self._words or piece.isascii():
+        if not self._words:
+            return piece[0] != "'"  # where it begins a run, "'s" is a token of its own
+        if piece.isascii():
             return True
         return unicodedata.is_normalized("NFC", piece) and len(piece.split()) == 1
 

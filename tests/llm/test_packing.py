@@ -61,7 +61,7 @@ def test_too_long_a_piece_is_refused():
 
 TEXTS = [
     "", " ", "  a", "a  ", "a b", "\n a\n\nb  c", "don't  I'll\tbe", "é É ΣΣ aΣ b", "<|endoftext|> a<|endoftext|>b",
-    " \x1c a", "a\xa0 b", "a 　b", "İ ß", " \n", "1 23  4.5", "x\x01 y\x01z", "end ", None, "ab" * 5000,
+    " \x1c a", "a\xa0 b", "a 　b", "İ ß", " \n", "1 23  4.5", "x\x01 y\x01z", "end ", None, "ab" * 5000, "'tis a", "'s 's",
 ]
 
 

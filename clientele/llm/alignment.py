@@ -36,7 +36,7 @@ from tokenizers import Tokenizer
 
 from clientele.llm.arrow import slices
 from clientele.llm.scratch import stored
-from clientele.llm.tokens import Encoder
+from clientele.llm.tokens import Encoder, byte_letters
 
 A_NAME, B_NAME = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_BYTES = 65_536
@@ -62,14 +62,6 @@ def _file(name: str) -> str:
     return name if "/" in name else public_tokenizers.path(name)
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in byte-level vocabularies: printable characters for
-    themselves, and those from U+0100 on for the rest, in order."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = sorted(set(range(256)) - set(plain))
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 @dataclass
 class Fragment:
     """A byte range of a text. Without a ``cut`` all of it is ``prefix``."""

@@ -1,13 +1,14 @@
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from clientele.llm.packing import OpenBins, best_fit_plan, pack, pack_documents, token_pieces
-from clientele.llm.tokens import encoder
+from clientele.llm.tokens import Encoder, encoder
 from clientele.operators.plan_text import plan_text
 from tests.llm.data import awkward, crc, nothing, tokens
 
@@ -62,6 +63,7 @@ def test_too_long_a_piece_is_refused():
 TEXTS = [
     "", " ", "  a", "a  ", "a b", "\n a\n\nb  c", "don't  I'll\tbe", "é É ΣΣ aΣ b", "<|endoftext|> a<|endoftext|>b",
     " \x1c a", "a\xa0 b", "a 　b", "İ ß", " \n", "1 23  4.5", "x\x01 y\x01z", "end ", None, "ab" * 5000, "'tis a", "'s 's",
+    "Où, l'été.\nÇa 12a34 (Ёж)...\n\nx_y", "it's 'tis a's.'s ..'d ''re", "Ünï5.5%\n7 <a>\nb\n c", "a\nb ²³ Ⅷ İI ΑΣ. ÿ×÷", "A--b- [c]{d}~`^",
 ]
 
 
@@ -71,7 +73,7 @@ def test_ids_are_the_tokenizers(name, words):
     assert found == [tokens(name, t)[:-1] for t in TEXTS]
 
 
-@given(st.lists(st.text(alphabet="ab ,.'\n\t sΣé́\xa01", max_size=30), max_size=8))
+@given(st.lists(st.text(alphabet="aB ,.'\n\t sΣÉ́\xa01", max_size=30), max_size=8))
 @settings(max_examples=60, deadline=None)
 def test_ids_of_any_text(texts):
     for name, words in (("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)):
@@ -79,6 +81,27 @@ def test_ids_of_any_text(texts):
         assert found == [tokens(name, t)[:-1] for t in texts]
 
 
+@pytest.mark.parametrize("name, words", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_runs_give_what_texts_give(name, words):
+    tool = encoder(name, words)
+    assert tool._has_runs
+    rng = np.random.default_rng(5)
+    marks = "".join(map(chr, [*range(33, 127)])) + "ÀÖØÿßЯёѢǅ²ªµ'\n"
+    pieces = ["".join(rng.choice(list(marks), rng.integers(1, 9))) for _ in range(20_000)]
+    pieces = [x.strip() for x in pieces if x.strip() and not (words and "\n" in x)]
+    if not words:
+        pieces += [" " + x for x in pieces]
+    found = [np.frombuffer(x, "<u4").tolist() for x in tool._encode_new(pieces)]
+    plain = [x.ids for x in tool._whole.encode_batch_fast(pieces, add_special_tokens=False)]
+    assert found == plain
+
+
+def test_other_vocabularies_are_encoded_as_texts():
+    # Runs of the byte-level kind, read as if of the word kind.
+    tool = Encoder(public_tokenizers.path("byte_bpe_50k.json"), True)
+    assert not tool._has_runs
+
+
 def test_awkward_documents(spark):
     docs = awkward(spark)
     rows = pack_documents(docs).collect()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import clientele as cl
+from clientele.operators import joins
 from clientele.plans.presets import DRINK_21, DRIVE_16, VOTE_18
 from tests.helpers import AS_OF, partition_sizes, plan_of, settings
 from workload.queries import QUERIES
@@ -134,6 +135,51 @@ def test_hot_keys_on_the_left_are_dealt_out(spark, skewed):
         assert cl.frames_equal(dealt, plain)
 
 
+@pytest.fixture(scope="module")
+def hot_on_both(spark):
+    """One customer has 100 visits and 2,000 orders, and so 200,000 rows of the join."""
+    visits = spark.range(0, 400, 1, 3).select(
+        F.when(F.col("id") % 4 == 0, 7).otherwise(F.col("id")).alias("id"), F.col("id").alias("visit")
+    )
+    orders = spark.range(0, 6_000, 1, 4).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 400).alias("customer_id"),
+    )
+    return visits, orders
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_a_key_that_is_hot_on_both_sides_is_spread_evenly(spark, hot_on_both, monkeypatch, turned):
+    sides = [(hot_on_both[0], "id"), (hot_on_both[1], "customer_id")][:: -1 if turned else 1]
+    (left, left_key), (right, right_key) = sides
+    ours, theirs = cl.heavy_keys(left, left_key, 0.1), cl.heavy_keys(right, right_key, 0.1)
+    assert list(ours) == list(theirs) == [7]
+    plain = cl.join_on(left, right, left_key, right_key)
+    # Adaptive execution sees few rows to join, and leaves them to one task.
+    dealt = cl.join_on(left, right, left_key, right_key, hot_keys=theirs, hot_left_keys=ours, slice_rows=250)
+    assert plan_of(dealt).count("BroadcastHashJoin") >= 1
+    assert max(partition_sizes(dealt)) < 40_000
+    assert cl.frames_equal(dealt, plain)
+    # Slices of many rows: the tasks go by the rows that they make.
+    monkeypatch.setattr(joins, "_TASK_ROWS", 10_000)
+    dealt = cl.join_on(left, right, left_key, right_key, hot_keys=theirs, hot_left_keys=ours)
+    assert max(partition_sizes(dealt)) < 20_000
+    assert cl.frames_equal(dealt, plain)
+    # Too many rows for a broadcast.
+    with settings(
+        spark,
+        spark_sql_adaptive_enabled="false",
+        spark_sql_autoBroadcastJoinThreshold="-1",
+        spark_sql_shuffle_partitions="20",
+    ):
+        dealt = cl.join_on(
+            left, right, left_key, right_key, hot_keys=theirs, hot_left_keys=ours, broadcast_rows=99
+        )
+        assert "BroadcastHashJoin" not in plan_of(dealt)
+        assert max(partition_sizes(dealt)) < 100_000
+        assert cl.frames_equal(dealt, plain)
+
+
 def test_heavy_keys_scans_once(spark, skewed, database):
     skewed[1].write.saveAsTable(f"{database}.orders")
     tracker = spark.sparkContext.statusTracker()

@@ -180,6 +180,43 @@ def test_a_key_that_is_hot_on_both_sides_is_spread_evenly(spark, hot_on_both, mo
         assert cl.frames_equal(dealt, plain)
 
 
+def test_rows_of_a_key_that_is_hot_on_both_sides_take_little_space(spark, tmp_path):
+    visits = spark.range(0, 2_001, 1, 3).select(F.lit(7).alias("id"), F.col("id").alias("visit"))
+    orders = spark.range(0, 2_100, 1, 4).select(F.col("id").alias("order_id"), F.lit(7).alias("customer_id"))
+    joined = cl.join_on(visits, orders, hot_keys={7: 2_100}, hot_left_keys={7: 2_001})
+    joined.write.parquet(f"{tmp_path}/joined")
+    written = spark.read.parquet(f"{tmp_path}/joined")
+    seen = written.agg(F.count("*"), F.count_distinct("visit", "order_id")).first()
+    assert tuple(seen) == (2_001 * 2_100, 2_001 * 2_100)
+    # Each visit comes with each order: without care for their turn its number takes a byte or two.
+    assert sum(f.stat().st_size for f in (tmp_path / "joined").glob("*.parquet")) < 0.5 * seen[0]
+
+
+@pytest.mark.parametrize("turned", [False, True])
+@pytest.mark.parametrize("counted", [{7: 100, 8: 20}, {7: 30, 8: 90}, {7: 1, 8: 900}])
+def test_chunks_hold_every_pair_of_rows_once(spark, monkeypatch, counted, turned):
+    # Copies of rows, odd numbers of rows, and names that the helper columns would take.
+    visits = spark.range(0, 143, 1, 3).select(
+        F.when(F.col("id") < 101, 7).when(F.col("id") < 122, 8).otherwise(F.col("id")).alias("id"),
+        (F.col("id") % 50).alias("__place"),
+        F.lit("v").alias("__of_many"),
+    )
+    orders = spark.range(0, 900, 1, 4).select(
+        F.col("id").alias("__of_few"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 143).alias("customer_id")
+    )
+    sides = [(visits, "id"), (orders, "customer_id")][:: -1 if turned else 1]
+    (left, left_key), (right, right_key) = sides
+    hot = [counted, {7: 450, 8: 2_000}][:: -1 if turned else 1]
+    monkeypatch.setattr(joins, "_CHUNK_ROWS", 10)
+    dealt = cl.join_on(left, right, left_key, right_key, hot_keys=hot[1], hot_left_keys=hot[0])
+    plain = cl.join_on(left, right, left_key, right_key)
+    assert dealt.columns == plain.columns and plain.count() > 45_000
+    assert cl.frames_equal(dealt, plain)
+    assert len(partition_sizes(dealt)) > 9
+    itself = cl.join_on(visits, visits, "id", "id", hot_keys=counted, hot_left_keys=counted)
+    assert cl.frames_equal(itself, cl.join_on(visits, visits, "id", "id"))
+
+
 def test_heavy_keys_scans_once(spark, skewed, database):
     skewed[1].write.saveAsTable(f"{database}.orders")
     tracker = spark.sparkContext.statusTracker()
